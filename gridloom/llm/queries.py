@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import bpe
+from gridloom.llm import bpe, pii, quality_rules
 from gridloom.llm.common import table
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.summary(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
@@ -18,5 +22,9 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_bpe, op5_token_counts)}
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op4_bpe, op5_token_counts, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
