@@ -2,7 +2,7 @@
 
 Each rule votes good (1), votes bad (-1) or abstains (0) on a document.  The documents are counted by their pattern of
 votes - at most 3 to the power of the number of rules, whatever the corpus size - and expectation-maximisation over
-these counts estimates, for each class, how likely each vote of each rule is.  A document is kept if the posterior
+these counts estimates, for each class, how often each rule votes bad.  A document is kept if the posterior
 probability of the good class is at least one half and no base rule fails.
 
 Defined results: a null text counts as empty; a text without words has zero in every count, fails the base rules and
@@ -23,6 +23,8 @@ WINDOW = 8
 MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
 #: Rounds of expectation-maximisation at most, and the change of the class share at which it ends.
 ROUNDS, SETTLED = 200, 1e-9
+#: Share of the good documents on which a rule's bad vote is wrong, at most.
+FALSE_ALARMS = 0.005
 
 
 def repeated_words(windows: Column) -> Column:
@@ -78,10 +80,9 @@ def rules() -> dict[str, Column]:
     c = F.col
     length = c("word_chars") / F.greatest(c("n_words"), F.lit(1))
     return {
-        "enough_words": F.when(c("n_words") >= 50, 1).when(c("n_words") < MIN_WORDS, -1).otherwise(0),
         "few_symbols": between(c("n_symbols"), c("word_chars"), 0.002, 0.02),
         "few_repeats": between(c("n_repeat_words"), c("n_words"), 0.10, 0.25),
-        "few_dup_lines": between(c("n_dup_lines"), c("n_lines"), 0.10, 0.30),
+        "few_dup_lines": between(c("n_dup_lines"), c("n_lines"), 0.10, 0.60),
         "usual_word_length": F.when(c("n_words") == 0, 0).when(length.between(3, 10), 1).when((length > 20) | (length < 2), -1).otherwise(0),
         "few_shouts": between(c("n_shouts"), c("n_words"), 0.05, 0.20),
         "few_capitals": between(c("n_upper"), c("word_chars"), 0.10, 0.40),
@@ -91,24 +92,27 @@ def rules() -> dict[str, Column]:
 def fitted(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[float, list[dict[int, float]]]:
     """Expectation-maximisation for two classes under which the rules' votes are independent.
 
-    patterns: (votes, number of documents).  Returns the log odds of the good class and, for each rule and vote, what
-    that vote adds to them.  A document that any rule finds bad starts as likely bad; the classes keep that sense.
+    patterns: (votes, number of documents).  For each rule it estimates how often, where it votes, it votes bad in either
+    class; an abstention says nothing.  What is known of the rules bounds the estimates: a bad vote is wrong on at most
+    FALSE_ALARMS of the good documents, and is never rarer among bad ones.  A document that any rule finds bad starts as
+    likely bad.  Returns the log odds of the good class and, for each rule and vote, what that vote adds to them.
     """
-    good = [0.1 if -1 in votes else 0.95 for votes, _ in patterns]
-    share, weights = 0.5, [dict.fromkeys((-1, 0, 1), 0.0) for _ in range(n_rules)]
+    weights = [dict.fromkeys((-1, 0, 1), 0.0) for _ in range(n_rules)]
     total = sum(n for _, n in patterns)
     if not total:
         return 0.0, weights
+    good, share = [0.1 if -1 in votes else 0.95 for votes, _ in patterns], 0.5
     for _ in range(ROUNDS):
-        mass = (sum(n * (1 - p) for (_, n), p in zip(patterns, good, strict=True)), sum(n * p for (_, n), p in zip(patterns, good, strict=True)))
-        old, share = share, min(max(mass[1] / total, 1e-6), 1 - 1e-6)
+        old, share = share, min(max(sum(n * p for (_, n), p in zip(patterns, good, strict=True)) / total, 1e-4), 1 - 1e-4)
         for j in range(n_rules):
-            seen = {v: [1e-3 * max(mass[0], 1) + 1e-9, 1e-3 * max(mass[1], 1) + 1e-9] for v in (-1, 0, 1)}
+            bad_votes, votes_cast = [0.0, 0.0], [1.0, 1.0]
             for (votes, n), p in zip(patterns, good, strict=True):
-                seen[votes[j]][0] += n * (1 - p)
-                seen[votes[j]][1] += n * p
-            both = [sum(x[k] for x in seen.values()) for k in (0, 1)]
-            weights[j] = {v: math.log(x[1] / both[1]) - math.log(x[0] / both[0]) for v, x in seen.items()}
+                for k, mass in ((0, n * (1 - p)), (1, n * p)):
+                    votes_cast[k] += mass * (votes[j] != 0)
+                    bad_votes[k] += mass * (votes[j] == -1)
+            wrong = min(max(bad_votes[1] / votes_cast[1], 1e-4), FALSE_ALARMS)
+            right = min(max(bad_votes[0] / votes_cast[0], wrong), 0.99)
+            weights[j] = {-1: math.log(wrong / right), 0: 0.0, 1: math.log((1 - wrong) / (1 - right))}
         base = math.log(share) - math.log(1 - share)
         good = [1 / (1 + math.exp(-max(-700.0, min(700.0, base + sum(w[v] for w, v in zip(weights, votes, strict=True)))))) for votes, _ in patterns]
         if abs(share - old) < SETTLED:
