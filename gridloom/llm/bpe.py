@@ -15,11 +15,12 @@ from __future__ import annotations
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
-from collections import defaultdict
 from collections.abc import Callable
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -30,7 +31,7 @@ from gridloom.llm import common
 
 VOCABULARY = "word_bpe_49k.json"
 #: Words whose encoding a worker keeps; beyond it the store starts anew, so its memory is bounded.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 400_000
 #: A longer word is encoded each time it occurs.
 KEPT_LENGTH = 48
 #: Unicode white space (fixed values).
@@ -59,6 +60,10 @@ def piece_pattern(unassigned: str) -> Callable[[str], list[str]]:
     return regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}{but}]+|[\p{{N}}{but}]|[^{SPACE}[[\p{{L}}\p{{N}}]{but}]]+").findall
 
 
+#: The same for lower-cased texts within Latin-1, whose letters, numbers and spaces are listed (fixed values).
+LATIN_PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºß-öø-ÿ]+|[0-9²³¹¼½¾]|[^\x09-\x0D\x20\x85\xA0a-zªµºß-öø-ÿ0-9²³¹¼½¾]+").findall
+
+
 @lru_cache(maxsize=1)
 def recent_pieces() -> Callable[[str], list[str]]:
     """The pattern for texts with characters that one library's Unicode tables have as letters and another's don't have yet."""
@@ -88,8 +93,17 @@ class Vocabulary:
         for a, b in model["merges"]:
             self.rank.setdefault(ids[a] << SHIFT | ids[b], len(self.made))
             self.made.append(ids[a + b])
-        self.inner = [ids[c] for c in byte_characters()]
-        self.last = [ids[c + WORD_END] for c in byte_characters()]
+        self.parts = [(ids[a], ids[b]) for a, b in model["merges"]]
+        self.inner_ids = np.array([ids[c] for c in byte_characters()])
+        self.last_ids = np.array([ids[c + WORD_END] for c in byte_characters()])
+        #: The rank of each pair of single bytes, or -1.
+        side = 1 + int(max(self.inner_ids.max(), self.last_ids.max()))
+        self.first_rank = np.full((side, side), -1, np.int32)
+        for pair, at in self.rank.items():
+            if pair >> SHIFT < side and pair & LOW < side:
+                self.first_rank[pair >> SHIFT, pair & LOW] = at
+        self.string = [str(i) for i in range(1 + max(self.token))]
+        self.tokens = [self.token.get(i) for i in range(1 + max(self.token))]
         self.split_specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.specials, key=len, reverse=True))) + ")")
         self.pieces = piece_pattern("")
         self.words: dict[str, tuple[int, ...]] = {}
@@ -106,61 +120,67 @@ class Vocabulary:
 
     def merged(self, words: list[str]) -> list[tuple[int, ...]]:
         """The ids of each word, all merged over one pair occurrence index."""
-        symbol: list[int] = []
-        after: list[int] = []
-        starts: list[int] = []
-        for w in words:
-            raw = w.encode("utf-8", "surrogatepass")
-            at = len(symbol)
-            starts.append(at)
-            symbol += [self.inner[b] for b in raw[:-1]]
-            symbol.append(self.last[raw[-1]])
-            after += range(at + 1, at + len(raw))
-            after.append(-1)
-        before = [-1] * len(symbol)
-        rank, index = self.rank, defaultdict(list)
-        for i, j in enumerate(after):
-            if j >= 0:
-                before[j] = i
-                pair = symbol[i] << SHIFT | symbol[j]
-                if pair in rank:
-                    index[pair].append(i)
-        active = [(rank[pair], pair) for pair in index]
-        heapq.heapify(active)
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        ends = np.cumsum([len(r) for r in raw])
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        first = self.inner_ids[data]
+        first[ends - 1] = self.last_ids[data[ends - 1]]
+        next_ = np.arange(1, len(data) + 1)
+        next_[ends - 1] = -1
+        previous = np.arange(-1, len(data) - 1)
+        previous[np.concatenate(([0], ends[:-1]))] = -1
+        ranked = self.first_rank[first[:-1], first[1:]]
+        ranked[ends[:-1] - 1] = -1
+        at = np.flatnonzero(ranked >= 0)
+        at = at[np.argsort(ranked[at], kind="stable")]
+        ranks, cuts = np.unique(ranked[at], return_index=True)
+        index: dict[int, list[int]] = {r: x.tolist() for r, x in zip(ranks.tolist(), np.split(at, cuts[1:]), strict=True)} if len(at) else {}
+        symbol, after, before = first.tolist(), next_.tolist(), previous.tolist()
+        active = sorted(index)
+        rank_of, parts, made = self.rank.get, self.parts, self.made
         while active:
-            at, pair = heapq.heappop(active)
-            a, b, new = pair >> SHIFT, pair & LOW, self.made[at]
-            for i in sorted(index.pop(pair)):
+            rank = heapq.heappop(active)
+            (a, b), new = parts[rank], made[rank]
+            for i in sorted(index.pop(rank)):
+                if symbol[i] != a:
+                    continue
                 j = after[i]
-                if symbol[i] != a or j < 0 or symbol[j] != b:
+                if j < 0 or symbol[j] != b:
                     continue
                 symbol[i], symbol[j] = new, -1
-                left, right = before[i], after[j]
-                after[i] = right
+                right = after[i] = after[j]
+                left = before[i]
+                if left >= 0 and (found := rank_of(symbol[left] << SHIFT | new)) is not None:
+                    if found in index:
+                        index[found].append(left)
+                    else:
+                        index[found] = [left]
+                        heapq.heappush(active, found)
                 if right >= 0:
                     before[right] = i
-                for where, found in ((left, left >= 0 and symbol[left] << SHIFT | new), (i, right >= 0 and new << SHIFT | symbol[right])):
-                    if found is not False and found in rank:
-                        if found not in index:
-                            heapq.heappush(active, (rank[found], found))
-                        index[found].append(where)
-        out = []
-        for i in starts:
-            ids = []
-            while i >= 0:
-                ids.append(symbol[i])
-                i = after[i]
-            out.append(tuple(ids))
+                    if (found := rank_of(new << SHIFT | symbol[right])) is not None:
+                        if found in index:
+                            index[found].append(i)
+                        else:
+                            index[found] = [i]
+                            heapq.heappush(active, found)
+        kept = [s for s in symbol if s >= 0]
+        counts = np.add.reduceat(np.array(symbol) >= 0, ends - [len(r) for r in raw], dtype=np.int64).tolist() if words else []
+        out, at_ = [], 0
+        for n in counts:
+            out.append(tuple(kept[at_ : at_ + n]))
+            at_ += n
         return out
 
     def pretokens(self, text: str) -> list[str]:
         """The pre-tokens of a text without special strings."""
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-            if max(text) >= FIRST_RECENT:
+            if (last := max(text)) >= FIRST_RECENT:
                 return recent_pieces()(text.lower())
-        return self.pieces(text.lower())
-
+            if last > "\xff":
+                return self.pieces(text.lower())
+        return LATIN_PIECES(text.lower())
     def segments(self, text: str) -> list[tuple[int, list[str]]]:
         """(id of a special string, or -1, the pre-tokens) in the order of the text."""
         if "<|" not in text:
@@ -190,7 +210,11 @@ class Vocabulary:
 
     def encode_batch(self, texts: list[str | None]) -> list[list[int]]:
         parts = [self.segments(t or "") for t in texts]
-        known = self.learn({w for p in parts for _, ws in p for w in ws})
+        every: set[str] = set()
+        for p in parts:
+            for _, ws in p:
+                every.update(ws)
+        known = self.learn(every)
         out = []
         for p in parts:
             ids: list[int] = []
@@ -204,8 +228,10 @@ class Vocabulary:
 
     def decode(self, ids: list[int]) -> str:
         """The library's decode for a file without a decoder: tokens joined by a space."""
-        token = self.token
-        return " ".join([token[i] for i in ids if i in token])
+        top = len(self.tokens)
+        if ids and (max(ids) >= top or min(ids) < 0):
+            ids = [i for i in ids if 0 <= i < top]
+        return " ".join(filter(None, map(self.tokens.__getitem__, ids)))
 
 
 class Counter:
@@ -233,12 +259,16 @@ class Counter:
 
     def count_batch(self, texts: list[str | None]) -> list[int]:
         parts = [self.vocabulary.segments(t or "") for t in texts]
-        missing = {w for p in parts for _, ws in p for w in ws}.difference(self.count)
+        every: set[str] = set()
+        for p in parts:
+            for _, ws in p:
+                every.update(ws)
+        missing = every.difference(self.count)
         known = self.count
         if missing:
             order = sorted(missing)
             found = {w: len(ids) for w, ids in zip(order, self.vocabulary.merged(order), strict=True)}
-            if len(self.count) + len(found) > len(self.one) + 2 * KEPT_WORDS:
+            if len(self.count) + len(found) > len(self.one) + KEPT_WORDS:
                 known = known | found
                 self.count = dict.fromkeys(self.one, 1)
             else:
@@ -288,7 +318,7 @@ def round_trip_digests(docs: DataFrame, name: str = VOCABULARY) -> DataFrame:
             [
                 batch.column("doc_id"),
                 pa.array([len(ids) for ids in encoded], pa.int64()),
-                pa.array([sha(" ".join(map(str, ids))) for ids in encoded], pa.string()),
+                pa.array([sha(" ".join(map(v.string.__getitem__, ids))) for ids in encoded], pa.string()),
                 pa.array([sha(v.decode(ids)) for ids in encoded], pa.string()),
             ],
             ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
