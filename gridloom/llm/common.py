@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.ship import ship
+
 #: Rows of one Arrow batch that goes to Python: whole texts are long, so few of them.
 BATCH_ROWS = 1000
 
@@ -17,8 +19,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Bounds the memory of a Python worker: a batch holds at most BATCH_ROWS texts."""
+def ready_for_python(spark: SparkSession) -> None:
+    """Ships this package and bounds the memory of a Python worker: a batch holds at most BATCH_ROWS texts."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
@@ -39,7 +42,7 @@ def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch]
             if batch.num_rows:
                 yield function(batch)
 
-    small_batches(df.sparkSession)
+    ready_for_python(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

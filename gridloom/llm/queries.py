@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import bpe, pii, quality_rules
+from gridloom.llm import bpe, line_dedup, pii, quality_rules, simhash
 from gridloom.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.summary(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.summary(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"))
 
@@ -22,9 +26,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "n_lines", "n_deleted", "text")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op4_bpe, op5_token_counts, op10_quality_rules)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op3_simhash, op4_bpe, op5_token_counts, op9_line_dedup, op10_quality_rules)}
 ORACLES: dict[str, str] = {}
