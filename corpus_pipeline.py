@@ -1,15 +1,46 @@
-"""A corpus pipeline; its stages follow."""
+"""A corpus pipeline: rejects low quality, deletes repeated lines, drops near copies, mixes the sources and encodes the texts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
+from gridloom.llm import bpe, line_dedup, mixing, quality_model, simhash
+from gridloom.llm.common import checkpointed, table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier doesn't reject."""
+    return quality_model.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without later copies of repeated line runs; one of which nothing is left goes, and n_chars follows the text."""
+    return line_dedup.remaining(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group."""
+    return simhash.representatives(docs)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mixture of their sources has them, each at least once."""
+    return mixing.mixed(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Number of tokens and digests of the ids and of the decoded text, for each copy of a document."""
+    return bpe.round_trip_digests(docs)
+
+
+STAGES = [("quality", quality), ("line_dedup", lines), ("near_dedup", near_copies), ("mixing", mixture), ("bpe", tokens)]
+
+#: A trained classifier, SimHash components and BPE can't be put into SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+        docs = checkpointed(stage(spark, docs, sf_dir))
     return docs

@@ -90,3 +90,10 @@ def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     text = F.when(F.col(DELETED).isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(F.col(LINES), i)), "\n"))
     counts = [F.size(WORDY).cast("long").alias("n_lines"), F.coalesce(F.size(DELETED), F.lit(0)).cast("long").alias("n_deleted")]
     return df.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_deleted")], *counts)
+
+
+def remaining(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """docs without later copies of repeated runs and without documents of which only copies were found; n_chars, if there is one, is made to follow the text."""
+    out = deduplicated(docs, min_words).filter("n_deleted = 0 or n_deleted < n_lines")
+    length = F.length("text").cast(docs.schema["n_chars"].dataType) if "n_chars" in docs.columns else None
+    return out.select(*[F.when(F.col("n_deleted") > 0, length).otherwise(F.col("n_chars")).alias(c) if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
