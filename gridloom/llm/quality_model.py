@@ -17,13 +17,14 @@ are carried along by scored(), whatever their names.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +33,8 @@ from gridloom.llm import common
 ROWS, SIZE, SET_ENTRIES = 1 << 14, 48, 6
 SAMPLE = 4000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY, HELD_BACK = 32, 40, 64, 3e-3, 1e-4, 5
-WORD = regex.compile(r"[^\x20\x09-\x0D]+").findall
-UPPER, LOWER, DIGITS = regex.compile(r"\p{Lu}+"), regex.compile(r"[\p{L}--\p{Lu}]+", regex.V1), regex.compile(r"\p{N}+")
 #: Words whose rows a worker keeps.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 400_000
 SCORE = "__quality_score"
 
 
@@ -48,40 +47,51 @@ def index_vectors() -> np.ndarray:
     return out
 
 
+class Classes(dict):
+    """For str.translate: the class of each character, found when it's first met."""
+
+    def __missing__(self, code: int) -> str:
+        kind = unicodedata.category(chr(code))
+        self[code] = "X" if kind == "Lu" else "x" if kind[0] == "L" else "9" if kind[0] == "N" else chr(code)
+        return self[code]
+
+
+CLASSES, SEVERAL = Classes(), re.compile(r"(.)\1+", re.DOTALL)
+
+
 def shape(word: str) -> str:
     """Runs of capitals become X, of other letters x, of numbers 9; a mark of several characters counts once."""
-    return regex.sub(r"(.)\1+", r"\1", DIGITS.sub("9", LOWER.sub("x", UPPER.sub("X", word))))
+    return SEVERAL.sub(r"\1", word.translate(CLASSES))
 
 
-_rows: dict[str, tuple[int, int]] = {}
+_rows: dict[bytes, int] = {}
 
 
-def rows_of(words: list[str]) -> np.ndarray:
-    """(row of the word, row of its shape) of each word."""
+def rows_of(text: str | None) -> np.ndarray:
+    """For each word its row plus ROWS times the row of its shape."""
+    words = (text or "").encode("utf-8", "surrogatepass").split()  # of bytes: at the characters 9 to 13 and the space
     known = _rows
-    try:
-        return np.array([known[w] for w in words], np.int64).reshape(-1, 2)
-    except KeyError:
-        pass
-    if len(known) > KEPT_WORDS:
-        known.clear()
-    for w in words:
-        if w not in known:
-            known[w] = (zlib.crc32(w.encode("utf-8", "surrogatepass")) % ROWS, zlib.crc32(("shape " + shape(w)).encode("utf-8", "surrogatepass")) % ROWS)
-    return np.array([known[w] for w in words], np.int64).reshape(-1, 2)
+    missing = set(words).difference(known)
+    if missing:
+        if len(known) + len(missing) > KEPT_WORDS:
+            known.clear()
+            missing = set(words)
+        for w in missing:
+            known[w] = zlib.crc32(w) % ROWS + ROWS * (zlib.crc32(b"shape " + shape(w.decode("utf-8", "surrogatepass")).encode("utf-8", "surrogatepass")) % ROWS)
+    return np.array([known[w] for w in words], np.int64)
 
 
 def features(text: str | None, vectors: np.ndarray) -> np.ndarray:
-    rows = rows_of(WORD(text or ""))
-    n = len(rows)
+    packed = rows_of(text)
+    n = len(packed)
     out = np.zeros(2 * SIZE + 2, np.float32)
     if n:
-        for k in (0, 1):
+        for k, rows in enumerate((packed % ROWS, packed // ROWS)):
             total = np.zeros(SIZE, np.float64)
             for a in range(0, n, 100_000):  # bounds the memory that a long text takes
-                total += vectors[rows[a : a + 100_000, k]].sum(axis=0, dtype=np.float64)
+                total += vectors[rows[a : a + 100_000]].sum(axis=0, dtype=np.float64)
             out[k * SIZE : (k + 1) * SIZE] = total / n
-        out[-2] = (rows[1:, 0] == rows[:-1, 0]).sum() / n
+        out[-2] = (packed[1:] == packed[:-1]).sum() / n
         out[-1] = np.log1p(n) / 10
     return out
 
@@ -152,8 +162,8 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     index, total = index_vectors(), np.zeros((ROWS, SIZE), np.int64)
     for b in batches:
         for text in b.column("text").to_pylist():
-            for k in (0, 1):
-                own = rows_of(WORD(text or ""))[:, k]
+            packed = rows_of(text)
+            for own in (packed % ROWS, packed // ROWS):
                 np.add.at(total, own[1:], index[own[:-1]])
                 np.add.at(total, own[:-1], index[own[1:]])
     used = np.flatnonzero(total.any(axis=1))
