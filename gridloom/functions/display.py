@@ -24,7 +24,7 @@ def palette_colour(x: Column, low: Column, high: Column, colours: Sequence[str])
 
 
 def percent(p: Column) -> Column:
-    return F.coalesce(F.format_string("%.1f%%", p * 100), F.lit("No data"))
+    return F.when(p.isNotNull(), F.format_string("%.1f%%", p * 100)).otherwise("No data")
 
 
 def signed_percent(offset: Column, up: str = "wetter", down: str = "drier") -> Column:

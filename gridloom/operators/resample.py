@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.functions.crs import transformed
+from gridloom.functions.crs import FROM_DEGREES, TO_DEGREES
 from gridloom.functions.terrain import world_x, world_y
 from gridloom.operators.focal import with_size
 from gridloom.schema import COL, KEY, RASTER, ROW
@@ -75,8 +75,11 @@ def reprojected(df: DataFrame, value: str, source_meta: dict, target: DataFrame,
     Each target centre is projected into the source, where its neighbours are joined by row and column.
     """
     t, s = [F.struct(*[F.lit(float(m["transform"][i])).alias(x) for i, x in enumerate("abcdef")]) for m in (target_meta, source_meta)]
-    x, y = transformed(world_x(t, F.col(ROW), F.col(COL)), world_y(t, F.col(ROW), F.col(COL)), target_meta["srid"], source_meta["srid"])
-    at = target.select(*KEY).withColumn("x", x).withColumn("y", y)
+    # In steps: each is used more than once by the next, and so is computed by itself.
+    at = target.select(*KEY, world_x(t, F.col(ROW), F.col(COL)).alias("x"), world_y(t, F.col(ROW), F.col(COL)).alias("y"))
+    for step in (TO_DEGREES[target_meta["srid"]], FROM_DEGREES[source_meta["srid"]]) if source_meta["srid"] != target_meta["srid"] else ():
+        x, y = step(F.col("x"), F.col("y"))
+        at = at.select(*KEY, x.alias("x"), y.alias("y"))
     det = s["a"] * s["e"] - s["b"] * s["d"]
     fc = (s["e"] * (F.col("x") - s["c"]) - s["b"] * (F.col("y") - s["f"])) / det - 0.5
     fr = (s["a"] * (F.col("y") - s["f"]) - s["d"] * (F.col("x") - s["c"])) / det - 0.5

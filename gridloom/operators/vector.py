@@ -91,7 +91,7 @@ def runs(polygons: DataFrame, height: int, width: int) -> DataFrame:
     """(poly_id, r, c_start, c_end) of the cells whose centres (c + 1/2, r + 1/2) lie in a polygon, by scan lines in pixel space."""
     e = envelope(F.col("ring"))
     first, last = F.greatest(F.ceil(e["ymin"] - 0.5), F.lit(0)), F.least(F.floor(e["ymax"] - 0.5), F.lit(height - 1))
-    lines = polygons.filter(last >= first).select("poly_id", "ring", F.explode(F.sequence(first, last)).cast("int").alias("r"))
+    lines = polygons.filter(last >= first).select("poly_id", "ring", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("r"))
     ring, y = F.col("ring"), F.col("r") + 0.5
     following = lambda i: F.get(ring, (i + 1) % F.size(ring))
 
