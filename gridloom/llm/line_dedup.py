@@ -15,31 +15,42 @@ are carried along whatever their names, and line ids are 64-bit hashes.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm import common
 
 MIN_WORDS = 10
 #: Names of the columns that the operator adds for its own use.
-KEY, LINES, WORDY, DELETED = "__line_key", "__lines", "__wordy_lines", "__deleted_lines"
+KEY, DELETED = "__line_key", "__deleted_lines"
 WORD = "[^ \\t-\\r]+"
 
 
-def with_lines(docs: DataFrame) -> DataFrame:
-    """docs with a key of each row, its lines and the indices of those with a word."""
-    text = F.col("text").cast("string")
-    lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    return docs.withColumn(KEY, F.xxhash64(F.col("doc_id").cast("long"), text)).withColumn(LINES, lines).withColumn(WORDY, F.filter(F.sequence(F.lit(0), F.size(LINES) - 1), lambda i: F.get(F.col(LINES), i).rlike(WORD)))
+def lines_of(text: Column) -> Column:
+    return F.split(F.coalesce(text.cast("string"), F.lit("")), "\n", -1)
+
+
+def key_of(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string"))
+
+
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use of a value that is computed once: a column that a lambda names would be put in its place, and computed for each element."""
+    return F.transform(F.array(value), use)[0]
+
+
+def words_up_to(line: Column, most: int) -> Column:
+    """The number of words of a line that has one; from most on, any number from there on: only that much of the line is split."""
+    return F.size(F.split(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), "[ \t-\r]+", most + 1))
 
 
 def places(docs: DataFrame, min_words: int) -> DataFrame:
     """doc_id, key, at (among the lines with a word), name of the line, and the lengths of the shortest runs of min_words words from it on and up to it, null if there's none."""
-    df = with_lines(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")))
-    own = F.transform(WORDY, lambda i: F.get(F.col(LINES), i))
-    df = df.select("doc_id", F.col(KEY).alias("key"), F.transform(own, lambda x: F.struct(F.xxhash64(x).alias("name"), F.size(common.words(x)).alias("n"))).alias("line")).distinct()
+    own = F.filter(lines_of(docs["text"]), lambda x: x.rlike(WORD))
+    df = docs.select(docs["doc_id"].cast("long").alias("doc_id"), key_of(docs).alias("key"), F.transform(own, lambda x: F.struct(F.xxhash64(x).alias("name"), words_up_to(x, min_words).alias("n"))).alias("line")).distinct()
 
     df = df.select("doc_id", "key", F.posexplode("line").alias("at", "line"))
     row = Window.partitionBy("key", "doc_id").orderBy("at")
@@ -84,11 +95,16 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs without later copies of repeated runs of lines; with the columns n_lines and n_deleted behind its own."""
     runs = repeated_runs(docs, min_words).groupBy(F.col("key").alias(KEY)).agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("length") - 1)))).alias(DELETED))
-    df = with_lines(docs).join(runs.hint("shuffle_hash"), KEY, "left")
-    gone = F.transform(DELETED, lambda at: F.get(F.col(WORDY), at))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(LINES) - 1), gone)
-    text = F.when(F.col(DELETED).isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get(F.col(LINES), i)), "\n"))
-    counts = [F.size(WORDY).cast("long").alias("n_lines"), F.coalesce(F.size(DELETED), F.lit(0)).cast("long").alias("n_deleted")]
+    df = docs.withColumn(KEY, key_of(docs)).join(runs.hint("shuffle_hash"), KEY, "left")
+    lines, deleted = lines_of(F.col("text")), F.col(DELETED)
+
+    def kept(own: Column) -> Column:
+        every = F.sequence(F.lit(0), F.size(own) - 1)
+        left = lambda wordy: F.array_except(every, F.transform(deleted, lambda at: F.get(wordy, at)))
+        return F.array_join(F.transform(bound(F.filter(every, lambda i: F.get(own, i).rlike(WORD)), left), lambda i: F.get(own, i)), "\n")
+
+    text = F.when(deleted.isNull(), F.col("text")).otherwise(bound(lines, kept))
+    counts = [F.size(F.filter(lines, lambda x: x.rlike(WORD))).cast("long").alias("n_lines"), F.coalesce(F.size(deleted), F.lit(0)).cast("long").alias("n_deleted")]
     return df.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_deleted")], *counts)
 
 
