@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators.graph import checkpointed
 from gridloom.ship import ship
 
 #: Rows of one Arrow batch that goes to Python: whole texts are long, so few of them.
 BATCH_ROWS = 1000
 
+__all__ = ["by_batch", "checkpointed", "ready_for_python", "table", "words"]
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -25,15 +27,6 @@ def ready_for_python(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to the shared folder of spark.checkpoint.dir, with its lineage cut; survives the loss of executors."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager=True)
-
-
 def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """function over the Arrow batches of df; it gets and gives whole record batches."""
 

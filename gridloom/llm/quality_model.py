@@ -197,7 +197,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
 
     training = common.by_batch(rows.select("rank", "doc_id", "quality", "text"), pooled, "rank long, doc_id long, quality int, x array<float>").toPandas()
     training = training.assign(key=[tuple(v) for v in training["x"]]).sort_values(["rank", "doc_id", "key"])
-    x = np.array(training["x"].tolist(), np.float64).reshape(len(training), -1)
+    x = np.array(training["x"].tolist(), np.float64).reshape(len(training), 2 * SIZE + 2)
     return trained(vectors, x, training["quality"].to_numpy(float))
 
 

@@ -13,6 +13,7 @@ their names can't clash.  A text is one row in one task, whatever its length, an
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
 ROUNDS, SETTLED = 200, 1e-9
 #: Share of the good documents on which a rule's bad vote is wrong, at most.
 FALSE_ALARMS = 0.005
+#: A document that no rule finds bad is good with this probability at least.
+UNCHALLENGED = 0.95
 
 
 def repeated_words(windows: Column) -> Column:
@@ -94,14 +97,14 @@ def fitted(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[f
 
     patterns: (votes, number of documents).  For each rule it estimates how often, where it votes, it votes bad in either
     class; an abstention says nothing.  What is known of the rules bounds the estimates: a bad vote is wrong on at most
-    FALSE_ALARMS of the good documents, and is never rarer among bad ones.  A document that any rule finds bad starts as
-    likely bad.  Returns the log odds of the good class and, for each rule and vote, what that vote adds to them.
+    FALSE_ALARMS of the good documents, and is never rarer among bad ones; what no rule finds bad is good with a probability
+    of UNCHALLENGED at least.  A document that any rule finds bad starts as likely bad.  Returns the log odds of the good class and, for each rule and vote, what that vote adds to them.
     """
     weights = [dict.fromkeys((-1, 0, 1), 0.0) for _ in range(n_rules)]
     total = sum(n for _, n in patterns)
     if not total:
         return 0.0, weights
-    good, share = [0.1 if -1 in votes else 0.95 for votes, _ in patterns], 0.5
+    good, share = [0.1 if -1 in votes else UNCHALLENGED for votes, _ in patterns], 0.5
     for _ in range(ROUNDS):
         old, share = share, min(max(sum(n * p for (_, n), p in zip(patterns, good, strict=True)) / total, 1e-4), 1 - 1e-4)
         for j in range(n_rules):
@@ -115,6 +118,7 @@ def fitted(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[f
             weights[j] = {-1: math.log(wrong / right), 0: 0.0, 1: math.log((1 - wrong) / (1 - right))}
         base = math.log(share) - math.log(1 - share)
         good = [1 / (1 + math.exp(-max(-700.0, min(700.0, base + sum(w[v] for w, v in zip(weights, votes, strict=True)))))) for votes, _ in patterns]
+        good = [p if -1 in votes else max(p, UNCHALLENGED) for (votes, _), p in zip(patterns, good, strict=True)]
         if abs(share - old) < SETTLED:
             break
     return math.log(share) - math.log(1 - share), weights
@@ -130,6 +134,8 @@ def judged(docs: DataFrame) -> DataFrame:
     odds = F.lit(base)
     for v, w in zip(votes.values(), weights, strict=True):
         odds = odds + F.when(v == 1, w[1]).when(v == -1, w[-1]).otherwise(w[0])
+    unchallenged = reduce(lambda a, b: a & b, [v != -1 for v in votes.values()])
+    odds = F.when(unchallenged, F.greatest(odds, F.lit(math.log(UNCHALLENGED / (1 - UNCHALLENGED))))).otherwise(odds)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     return counted.select(
         *["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"],

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridloom.llm import avi, bpe, line_dedup, mixing, pii, quality_model, quality_rules, quotes, simhash
+from gridloom.llm import avi, bpe, line_dedup, mixing, oracles, pii, quality_model, quality_rules, quotes, simhash
 from gridloom.llm.common import table
 
 
@@ -51,4 +51,4 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_pii, op2_mixing, op3_simhash, op4_bpe, op5_token_counts, op6_avi, op7_quotes, op8_quality, op9_line_dedup, op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+ORACLES = oracles.ORACLES
