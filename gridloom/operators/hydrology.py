@@ -116,47 +116,56 @@ def pit_fill(df: DataFrame, value: str, step: float = 0.0) -> DataFrame:
     return by_raster(df, [value], ["filled"], lambda a: {"filled": filled_pits(a[value], step)})
 
 
-def receivers_d8(direction: np.ndarray) -> list[list[tuple[int, float]]]:
-    """For each cell, by flat index, the cell that it drains to."""
-    h, w = direction.shape
-    out: list[list[tuple[int, float]]] = [[] for _ in range(h * w)]
-    for r, c in zip(*np.nonzero(direction > 0), strict=True):
-        a, b = STEPS[int(direction[r, c]) - 1]
-        if 0 <= r + a < h and 0 <= c + b < w and not np.isnan(direction[r + a, c + b]):
-            out[r * w + c].append(((r + a) * w + c + b, 1.0))
-    return out
-
-
-def receivers_dinf(angle: np.ndarray, known: np.ndarray) -> list[list[tuple[int, float]]]:
-    """For each cell the two cells that bracket its angle, with their parts."""
-    h, w = angle.shape
-    out: list[list[tuple[int, float]]] = [[] for _ in range(h * w)]
-    for r, c in zip(*np.nonzero(~np.isnan(angle)), strict=True):
-        turn = angle[r, c] / (math.pi / 4)
-        low = int(turn) % 8
-        for k, part in ((low, 1 - (turn - int(turn))), ((low + 1) % 8, turn - int(turn))):
-            y, x = r + STEPS[k][0], c + STEPS[k][1]
-            if part > 1e-12 and 0 <= y < h and 0 <= x < w and known[y, x]:
-                out[r * w + c].append((y * w + x, part))
-    return out
-
-
-def topological(receivers: list[list[tuple[int, float]]]) -> list[int]:
-    """Cells, each before those that it drains to; cells on cycles are left out."""
-    inflows = [0] * len(receivers)
-    for to in receivers:
-        for j, _ in to:
-            inflows[j] += 1
-    order = [i for i, n in enumerate(inflows) if not n]
-    for i in order:
-        for j, _ in receivers[i]:
-            inflows[j] -= 1
-            if not inflows[j]:
-                order.append(j)
-    return order
-
-
-def accumulated(receivers: list[list[tuple[int, float]]], known: np.ndarray, edge_contamination: bool) -> np.ndarray:
+class Flow:
+    """Where the cells of a raster drain to, by flat index: up to two receivers each, -1 if none, and the parts that they get."""
+
+    def __init__(self, to: np.ndarray, part: np.ndarray) -> None:
+        self.to, self.part = to, np.where(to >= 0, part, 0.0)
+
+    def levels(self) -> list[np.ndarray]:
+        """Cells in groups, each after all that drain to it; cells on cycles are left out."""
+        valid = self.to >= 0
+        inflows = np.bincount(self.to[valid], minlength=len(self.to))
+        out, now = [], np.flatnonzero(inflows == 0)
+        while len(now):
+            out.append(now)
+            targets, counts = np.unique(self.to[now][valid[now]], return_counts=True)
+            inflows[targets] -= counts
+            now = targets[inflows[targets] == 0]
+        return out
+
+
+def flow_d8(direction: np.ndarray) -> Flow:
+    """Each cell drains to the neighbour that its code names."""
+    known = ~np.isnan(direction)
+    code = np.where(known, direction, 0).astype(int)
+    return _flow(known, [(code - 1, np.ones(direction.shape), code > 0)])
+
+
+def flow_dinf(angle: np.ndarray, known: np.ndarray) -> Flow:
+    """Each cell drains to the two neighbours that bracket its angle, in proportion to their nearness to it."""
+    turn = np.where(np.isnan(angle), 0.0, angle) / (math.pi / 4)
+    low = np.floor(turn)
+    high_part = turn - low
+    falls = ~np.isnan(angle)
+    return _flow(known, [(low.astype(int) % 8, 1 - high_part, falls & (1 - high_part > 1e-12)), ((low.astype(int) + 1) % 8, high_part, falls & (high_part > 1e-12))])
+
+
+def _flow(known: np.ndarray, ways: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> Flow:
+    h, w = known.shape
+    steps = np.array(STEPS)
+    r, c = np.indices(known.shape)
+    to, part = [], []
+    for k, share, falls in ways:
+        y, x = r + steps[k, 0], c + steps[k, 1]
+        inside = falls & (y >= 0) & (y < h) & (x >= 0) & (x < w)
+        inside[inside] = known[y[inside], x[inside]]
+        to.append(np.where(inside, y * w + x, -1).ravel())
+        part.append(share.ravel())
+    return Flow(np.stack(to, axis=1), np.stack(part, axis=1))
+
+
+def accumulated(flow: Flow, known: np.ndarray, edge_contamination: bool) -> np.ndarray:
     """Cells that drain through each, itself included; NaN where flow from beyond the measured area may come in."""
     h, w = known.shape
     area = known.astype(float).ravel()
@@ -164,17 +173,19 @@ def accumulated(receivers: list[list[tuple[int, float]]], known: np.ndarray, edg
     if edge_contamination:
         pad = np.pad(known, 1)
         tainted = ~np.all([pad[1 + a : 1 + a + h, 1 + b : 1 + b + w] for a, b in STEPS], axis=0).ravel()
-    for i in topological(receivers):
-        for j, part in receivers[i]:
-            area[j] += part * area[i]
-            tainted[j] |= tainted[i]
+    for cells in flow.levels():
+        for k in range(flow.to.shape[1]):
+            to = flow.to[cells, k]
+            on = to >= 0
+            np.add.at(area, to[on], flow.part[cells, k][on] * area[cells][on])
+            np.logical_or.at(tainted, to[on], tainted[cells][on])
     area[~known.ravel() | tainted] = np.nan
     return area.reshape(h, w)
 
 
 def d8_area(df: DataFrame, direction: str = "direction", edge_contamination: bool = True) -> DataFrame:
     """area: the number of cells that drain through each, itself included."""
-    return by_raster(df, [direction], ["area"], lambda a: {"area": accumulated(receivers_d8(a[direction]), ~np.isnan(a[direction]), edge_contamination)})
+    return by_raster(df, [direction], ["area"], lambda a: {"area": accumulated(flow_d8(a[direction]), ~np.isnan(a[direction]), edge_contamination)})
 
 
 def dinf_area(df: DataFrame, angle: str = "angle", measured: str = "slope", spacing: float = 10.0, edge_contamination: bool = True) -> DataFrame:
@@ -182,7 +193,7 @@ def dinf_area(df: DataFrame, angle: str = "angle", measured: str = "slope", spac
 
     def kernel(a: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         known = ~np.isnan(a[measured])
-        return {"sca": accumulated(receivers_dinf(a[angle], known), known, edge_contamination) * spacing}
+        return {"sca": accumulated(flow_dinf(a[angle], known), known, edge_contamination) * spacing}
 
     return by_raster(df, [angle, measured], ["sca"], kernel)
 
@@ -193,21 +204,23 @@ def distances_down(df: DataFrame, value: str, angle: str, stream: str, spacing:
     def kernel(a: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         z, known = a[value], ~np.isnan(a[value])
         h, w = z.shape
-        receivers = receivers_dinf(a[angle], known)
+        flow = flow_dinf(a[angle], known)
         at_stream = (a[stream] == 1).ravel()
         flat, found = z.ravel(), np.full((3, h * w), np.nan)
         found[:, at_stream] = 0.0
-        for i in reversed(topological(receivers)):
-            if not at_stream[i] and receivers[i]:
-                total, weight = np.zeros(3), 0.0
-                for j, part in receivers[i]:
-                    if not np.isnan(found[0, j]):
-                        length = spacing * (math.sqrt(2) if i // w != j // w and i % w != j % w else 1.0)
-                        drop = flat[i] - flat[j]
-                        total += part * (found[:, j] + (math.hypot(length, drop), length, drop))
-                        weight += part
-                if weight > 0:
-                    found[:, i] = total / weight
+        for cells in reversed(flow.levels()):
+            cells = cells[~at_stream[cells]]
+            total, weight = np.zeros((3, len(cells))), np.zeros(len(cells))
+            for k in range(flow.to.shape[1]):
+                to = flow.to[cells, k]
+                on = (to >= 0) & ~np.isnan(found[0, to])
+                i, j, part = cells[on], to[on], flow.part[cells, k][on]
+                length = spacing * np.where((i // w != j // w) & (i % w != j % w), math.sqrt(2), 1.0)
+                drop = flat[i] - flat[j]
+                total[:, on] += part * (found[:, j] + np.stack([np.hypot(length, drop), length, drop]))
+                weight[on] += part
+            reached = weight > 0
+            found[:, cells[reached]] = total[:, reached] / weight[reached]
         return {n: found[k].reshape(h, w) for k, n in enumerate(("dd_s", "dd_h", "dd_v"))}
 
     out = by_raster(df, [value, angle, stream], ["dd_s", "dd_h", "dd_v"], kernel)
