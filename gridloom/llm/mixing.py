@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from gridloom.llm import common
 
 ENTROPY, MAX_REPEATS, BLOCK_TOKENS, SEED = 0.95, 4.0, 1_000_000, 42
+#: Tables of a row for each source are broadcast up to so many sources.
+BROADCAST_SOURCES = 10_000
 #: Bits of a hash, and by how many each round narrows the block in which a pass is cut.
 HASH_BITS, ROUND_BITS, ROUNDS = 63, 12, 2
 SOURCE, PLACE, FULL, CUT, COPIES = "__mix_source", "__mix_place", "__mix_full", "__mix_cut", "__mix_copies"
@@ -81,33 +83,40 @@ def place_of(docs: DataFrame, salt: Column | None = None) -> Column:
     return F.xxhash64(F.lit(SEED) if salt is None else salt, docs["doc_id"].cast("long"), docs["text"].cast("string"), source_of(docs)).bitwiseAND(F.lit((1 << HASH_BITS) - 1))
 
 
-def passes(slim: DataFrame, **limits) -> tuple[DataFrame, int]:
-    """Rows (source, full passes, last place that is taken once more), and the tokens of the whole mixture; slim: (source, place, tokens)."""
+def passes(slim: DataFrame, **limits) -> tuple[DataFrame, int, bool]:
+    """Rows (source, full passes, last place that is taken once more), the tokens of the whole mixture, and whether such rows are few enough to be broadcast; slim: (source, place, tokens)."""
     spark = slim.sparkSession
     sums = {r[SOURCE]: r["tokens"] for r in slim.groupBy(SOURCE).agg(F.sum("tokens").alias("tokens")).collect()}
     want = targets(sums, **limits) if sums else {}
+    few = len(sums) <= BROADCAST_SOURCES
     rows = [(s, want[s] // t if t else 1, want[s] % t if t else 0) for s, t in sorted(sums.items())]
     left = spark.createDataFrame(rows, f"{SOURCE} string, {FULL} long, rest long")
     found, within = left.withColumn(CUT, F.lit(-1).cast("long")).withColumn("low", F.lit(0).cast("long")), slim
     for k in range(1, ROUNDS + 1):
         # Sums by block; the blocks that fit as a whole are taken, and the next one is looked into.
         size = 1 << (HASH_BITS - k * ROUND_BITS)
-        within = within.join(found.select(SOURCE, "low"), SOURCE).filter((F.col(PLACE) - F.col("low")).between(0, (size << ROUND_BITS) - 1)).drop("low")
+        within = within.join(hinted(found.select(SOURCE, "low"), few), SOURCE).filter((F.col(PLACE) - F.col("low")).between(0, (size << ROUND_BITS) - 1)).drop("low")
         found = common.checkpointed(narrowed(found, within.groupBy(SOURCE, (F.col(PLACE) - F.pmod(F.col(PLACE), F.lit(size))).alias("start")).agg(F.sum("tokens").alias("tokens")), size))
-    last = within.join(found.select(SOURCE, "low"), SOURCE).filter((F.col(PLACE) - F.col("low")).between(0, size - 1)).groupBy(SOURCE, F.col(PLACE).alias("start")).agg(F.sum("tokens").alias("tokens"))
-    return narrowed(found, last, 1).select(SOURCE, FULL, CUT), sum(want.values())
+    last = within.join(hinted(found.select(SOURCE, "low"), few), SOURCE).filter((F.col(PLACE) - F.col("low")).between(0, size - 1)).groupBy(SOURCE, F.col(PLACE).alias("start")).agg(F.sum("tokens").alias("tokens"))
+    return hinted(common.checkpointed(narrowed(found, last, 1).select(SOURCE, FULL, CUT)), few), sum(want.values()), few
 
 
 def narrowed(found: DataFrame, blocks: DataFrame, size: int) -> DataFrame:
     """found with its rest, last place and low moved to the first block (start, tokens) that doesn't fit as a whole."""
     order = Window.partitionBy(SOURCE).orderBy("start")
-    summed = blocks.withColumn("sum", F.sum("tokens").over(order)).join(found.select(SOURCE, "rest"), SOURCE)
+    # Written by itself: else the partial sums of every task would meet where their source is.
+    summed = common.checkpointed(blocks).withColumn("sum", F.sum("tokens").over(order)).join(found.select(SOURCE, "rest"), SOURCE)
     fits = F.col("sum") <= F.col("rest")
     by = summed.groupBy(SOURCE).agg(F.max(F.when(fits, F.col("sum"))).alias("taken"), F.max(F.when(fits, F.col("start") + (size - 1))).alias("end"), F.min(F.when(~fits, F.col("start"))).alias("next"))
     joined = found.join(by, SOURCE, "left")
     return joined.select(SOURCE, FULL, (F.col("rest") - F.coalesce("taken", F.lit(0))).alias("rest"), F.coalesce(F.greatest(CUT, "end"), CUT).alias(CUT), F.col("next").alias("low"))
 
 
+def hinted(by_source: DataFrame, few: bool) -> DataFrame:
+    """A table of a row for each source, to be broadcast if they're few: a large source then stays where it is."""
+    return F.broadcast(by_source) if few else by_source
+
+
 def slim_of(docs: DataFrame) -> DataFrame:
     tokens = F.size(common.words(docs["text"].cast("string"))).cast("long")
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), source_of(docs).alias(SOURCE), place_of(docs).alias(PLACE), tokens.alias("tokens"))
@@ -121,11 +130,12 @@ def with_copies(rows: DataFrame, found: DataFrame) -> DataFrame:
 def schedule(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, **limits) -> DataFrame:
     """A row for each copy: doc_id, source, epoch (the pass, from 0), block of the mixture, n_tokens."""
     slim = common.checkpointed(slim_of(docs))
-    found, total = passes(slim, **limits)
+    found, total, few = passes(slim, **limits)
     blocks = max(1, math.ceil(total / block_tokens))
-    dealt = with_copies(slim, common.checkpointed(found)).filter(f"{COPIES} > 0")
+    dealt = with_copies(slim, found).filter(f"{COPIES} > 0")
     of_source = dealt.groupBy(SOURCE).agg(F.sum(F.col(COPIES) * F.col("tokens")).alias("mixed"), F.sum("tokens").alias("own"))
-    dealt = dealt.join(of_source.select(SOURCE, (F.greatest("mixed", F.lit(1)) / F.greatest("own", F.lit(1))).alias("repeats")), SOURCE)
+    repeats = (F.greatest("mixed", F.lit(1)) / F.greatest("own", F.lit(1))).alias("repeats")
+    dealt = dealt.join(hinted(of_source.select(SOURCE, repeats), few), SOURCE)
     rows = dealt.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col(COPIES) - 1)))
     # A full pass is permuted anew; the places of the last one are those that it was cut by.
     place = F.when(F.col("epoch") < F.col(FULL), F.xxhash64("epoch", PLACE).bitwiseAND(F.lit((1 << HASH_BITS) - 1))).otherwise(F.col(PLACE)) / F.lit(2.0**HASH_BITS)
@@ -135,7 +145,7 @@ def schedule(docs: DataFrame, block_tokens: int = BLOCK_TOKENS, **limits) -> Dat
 
 def mixed(docs: DataFrame, **limits) -> DataFrame:
     """docs with each row as often as the mixture has it."""
-    found, _ = passes(common.checkpointed(slim_of(docs).drop("doc_id")), **limits)
-    placed = with_copies(docs.withColumn(SOURCE, source_of(docs)).withColumn(PLACE, place_of(docs)), common.checkpointed(found)).filter(f"{COPIES} > 0")
+    found, _, _ = passes(common.checkpointed(slim_of(docs).drop("doc_id")), **limits)
+    placed = with_copies(docs.withColumn(SOURCE, source_of(docs)).withColumn(PLACE, place_of(docs)), found).filter(f"{COPIES} > 0")
     copies = placed.withColumn("__mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col(COPIES))))
     return copies.select(*[F.col(f"`{c}`") for c in docs.columns])
