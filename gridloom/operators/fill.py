@@ -21,36 +21,38 @@ def median_fill(df: DataFrame, value: str) -> DataFrame:
     return df.join(medians, RASTER).withColumn(value, F.coalesce(F.col(value).cast("double"), "__median")).drop("__median")
 
 
-def nearest_fill(df: DataFrame, value: str, where: Column | None = None) -> DataFrame:
+def nearest_fill(df: DataFrame, value: str, where: Column | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """df with NULLs of value (where a condition holds) replaced by the value of the nearest measured cell of the raster.
 
     Nearest by Euclidean distance; ties go to the smaller row, then column.  Exact, in two passes: the nearest measured cell
-    up or down in each column by windows, then the best of the columns for each row, in blocks of rows.
+    up or down in each column by windows, then the best of the columns for each row, in blocks of rows.  Columns named in
+    also, missing where value is, are filled from the same cells.
     """
-    own = df.select(*KEY, F.col(value).cast("double").alias("v"), (F.lit(True) if where is None else where).alias("wanted"))
+    values = [value, *also]
+    own = df.select(*KEY, *[F.col(v).cast("double").alias(f"v{i}") for i, v in enumerate(values)], (F.lit(True) if where is None else where).alias("wanted"))
+    vs = [f"v{i}" for i in range(len(values))]
     up, down = Window.partitionBy(RASTER, COL).orderBy(ROW), Window.partitionBy(RASTER, COL).orderBy(F.desc(ROW))
-    held = F.when(F.col("v").isNotNull(), F.struct(F.col(ROW).alias("at"), "v"))
+    held = F.when(F.col("v0").isNotNull(), F.struct(F.col(ROW).alias("at"), *vs))
     above, below = F.last(held, ignorenulls=True).over(up), F.last(held, ignorenulls=True).over(down)
     columns = own.withColumn("above", above).withColumn("below", below)
     nearer = F.when(F.col("below").isNull() | (F.col(ROW) - F.col("above.at") <= F.col("below.at") - F.col(ROW)), F.col("above")).otherwise(F.col("below"))
-    columns = columns.withColumn("near", nearer).select(*KEY, "v", (F.col("v").isNull() & F.col("wanted")).alias("hole"), F.col("near.at").alias("at"), F.col("near.v").alias("near"))
+    columns = columns.withColumn("near", nearer).select(*KEY, *vs, (F.col("v0").isNull() & F.col("wanted")).alias("hole"), F.col("near.at").alias("at"), *[F.col(f"near.{v}").alias(f"near_{v}") for v in vs])
     ship(df.sparkSession)
-    filled = columns.groupBy(RASTER, (F.col(ROW) - F.pmod(F.col(ROW), F.lit(ROWS_TOGETHER))).alias("block")).applyInPandas(_best_column, _schema(df))
-    rest = [c for c in df.columns if c not in (*KEY, value)]
-    out = df.select(*KEY, *rest).join(filled.withColumnRenamed("v", value), KEY) if rest else filled.withColumnRenamed("v", value)
-    return out.select(*df.columns)
-
-
-def _schema(df: DataFrame) -> str:
-    return ", ".join(f"{k} {df.schema[k].dataType.simpleString()}" for k in KEY) + ", v double"
+    schema = ", ".join([f"{k} {df.schema[k].dataType.simpleString()}" for k in KEY] + [f"{v} double" for v in vs])
+    filled = columns.groupBy(RASTER, (F.col(ROW) - F.pmod(F.col(ROW), F.lit(ROWS_TOGETHER))).alias("block")).applyInPandas(_best_column, schema)
+    filled = filled.select(*KEY, *[F.col(a).alias(b) for a, b in zip(vs, values, strict=True)])
+    rest = [c for c in df.columns if c not in (*KEY, *values)]
+    return (df.select(*KEY, *rest).join(filled, KEY) if rest else filled).select(*df.columns)
 
 
 def _best_column(block: pd.DataFrame) -> pd.DataFrame:
-    """Holes of some rows of a raster take the value of the nearest candidate among the columns of their row."""
+    """Holes of some rows of a raster take the values of the nearest candidate among the columns of their row."""
+    names = [c for c in block.columns if c.startswith("v")]
     out = []
     for _, row in block.groupby(ROW, sort=True):
         row = row.sort_values(COL)
-        c, at, near, v = row[COL].to_numpy(np.int64), row["at"].to_numpy(float), row["near"].to_numpy(float), row["v"].to_numpy(float).copy()
+        c, at = row[COL].to_numpy(np.int64), row["at"].to_numpy(float)
+        v, near = row[names].to_numpy(float).copy(), row[[f"near_{n}" for n in names]].to_numpy(float)
         can = np.flatnonzero(~np.isnan(at))
         holes = np.flatnonzero(row["hole"].to_numpy(bool))
         if len(can) and len(holes):
@@ -61,7 +63,7 @@ def _best_column(block: pd.DataFrame) -> pd.DataFrame:
             for a in range(0, len(holes), step):
                 h = holes[a : a + step]
                 v[h] = near[can[((c[h, None] - c[None, can]) ** 2 + down[None, :]).argmin(axis=1)]]
-        out.append(row[KEY].assign(v=v))
+        out.append(row[KEY].assign(**{n: v[:, i] for i, n in enumerate(names)}))
     return pd.concat(out)
 
 

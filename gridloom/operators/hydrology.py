@@ -228,7 +228,5 @@ def distances_down(df: DataFrame, value: str, angle: str, stream: str, spacing:
 
 
 def fixed_distances(df: DataFrame) -> DataFrame:
-    """Missing distances take those of the nearest measured cell."""
-    for x in ("dd_s", "dd_h", "dd_v"):
-        df = nearest_fill(df, x)
-    return df
+    """Missing distances, missing together, take those of the nearest measured cell."""
+    return nearest_fill(df, "dd_s", also=("dd_h", "dd_v"))

@@ -30,7 +30,7 @@ def terrain_features(dem: DataFrame, z: str = "z", spacing: float = 10.0) -> Dat
     near = tiled.focal_features(nearest_fill(dem.select(*KEY, z), z), z, spacing)
     middle = tiled.focal_features(median_fill(dem.select(*KEY, z), z), z, spacing)
     by_median = ["slope", "elev_5x5_rel", "elev_5x5_std_dev"]
-    both = near.drop(*by_median).join(middle.select(*KEY, *by_median), KEY).join(known, KEY)
+    both = checkpointed(near.drop(*by_median).join(middle.select(*KEY, *by_median), KEY).join(known, KEY))
     slopes = tiled.focal_features(both.select(*KEY, "slope"), "slope", spacing).select(*KEY, F.col("elev_5x5_std_dev").alias("slope_5x5_std_dev"), F.col("elev_std_9x9").alias("slope_std_9x9"))
     out = both.join(slopes, KEY)
     names = [c for c in out.columns if c not in (*KEY, "__known")]
