@@ -65,8 +65,10 @@ def places(docs: DataFrame, min_words: int) -> DataFrame:
 
 def repeated(named: DataFrame, *name: str) -> DataFrame:
     """The rows of named (doc_id, key, at, name columns, ...) whose name occurs twice or more, with the first place that has it."""
+    # Both are written by themselves, so that the join can split the partition of a name that very many rows have.
+    named = common.checkpointed(named)
     first = named.groupBy(*name).agg(F.min(F.struct("doc_id", "key", "at")).alias("first"), F.count(F.lit(1)).alias("copies"))
-    return named.join(first.filter("copies > 1").drop("copies"), list(name))
+    return named.join(common.checkpointed(first.filter("copies > 1").drop("copies")), list(name))
 
 
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
