@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridloom.functions import crs, display, missing, terrain
-from gridloom.operators import components, fill, focal, hydrology, metrics, ml, resample, sampling, temporal, tiled, vector, zonal
+from gridloom.operators import boosting, components, fill, focal, hydrology, metrics, ml, resample, sampling, temporal, tiled, vector, zonal
 from gridloom.plans import terrain as plan
 from gridloom.schema import KEY, NODATA
 from gridloom.sources import files
@@ -814,6 +814,14 @@ def l3_gbt(spark, sf_dir):
     return ml.evaluate(ml.probability(model, split.filter("not is_train")))
 
 
+@query()
+def l3_second_order(spark, sf_dir):
+    df, names = vectors(spark, sf_dir)
+    split = sampling.stratified_split(df, "label", 42, "vec_id")
+    model = boosting.train(split.filter("is_train"), names, files.DEFAULTS | {"n_estimators": 5, "max_depth": 3, "learning_rate": 0.3})
+    return ml.evaluate(boosting.probability(model, split.filter("not is_train")))
+
+
 @query()
 def l4_forest(spark, sf_dir):
     df, names = vectors(spark, sf_dir)

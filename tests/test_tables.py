@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridloom.operators import metrics, ml, sampling, temporal, vector
+from gridloom.operators import boosting, metrics, ml, sampling, temporal, vector
 from gridloom.plans import terrain as plan
 from gridloom.schema import FEATURES
 from gridloom.sources import files
@@ -154,6 +154,22 @@ def test_models(spark):
     assert found[0][1] >= found[1][1] and found[0][0]["max_depth"] == 3
 
 
+def test_second_order_trees(spark):
+    r = np.random.default_rng(12)
+    rows = [(i, float(a), float(b) if i % 50 else None, float(c), int(a + 0.3 * b > 0.8)) for i, (a, b, c) in enumerate(r.random((800, 3)))]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, label int")
+    split = sampling.stratified_split(df, "label", 42, "id").cache()
+    params = files.DEFAULTS | {"n_estimators": 12, "max_depth": 3, "learning_rate": 0.3, "colsample_bytree": 1.0, "gamma": 0.0}
+    model = boosting.train(split.filter("is_train"), ["a", "b", "c"], params)
+    scored = boosting.probability(model, split.filter("not is_train"))
+    assert scored.columns == [*split.columns, "probability"] and ml.evaluate(scored).first().auc > 0.95
+    assert [x[1] for x in model.importance()][0] == "a"
+    stumps = boosting.train(split.filter("is_train"), ["a", "b", "c"], params | {"gamma": 1e9, "n_estimators": 1})
+    assert (stumps.trees[0].feature == -1).all()
+    flat = boosting.train(split.filter("is_train"), ["a", "b", "c"], params | {"reg_alpha": 1e9, "n_estimators": 1})
+    assert (flat.trees[0].value == 0).all()
+
+
 def test_batch_isolates_failures(spark):
     def fail():
         raise ValueError("no raster")
