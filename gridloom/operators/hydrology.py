@@ -1,7 +1,8 @@
 """Flow over elevation rasters.
 
 Directions are expressions over neighbours.  Filling pits and accumulating along flow paths depend on the whole of a
-drainage: they run as array code on one raster in one task, so rasters - one watershed each - are what is parallel.
+drainage: tiles are solved by themselves, each with the state that its neighbours' border cells had in the round before,
+until no tile changes.  A raster of one tile takes one round, others as many as a flow path crosses borders of tiles.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from gridloom.operators.fill import nearest_fill
 from gridloom.operators.focal import along_col, along_row
+from gridloom.operators.graph import checkpointed
 from gridloom.schema import COL, KEY, RASTER, ROW
 from gridloom.ship import ship
 
@@ -68,52 +70,94 @@ def streams(df: DataFrame, area: str, least: int = 350) -> DataFrame:
     return df.select(*KEY, F.when(F.col(area) >= least, 1).otherwise(0).alias("stream"))
 
 
-Kernel = Callable[[dict[str, np.ndarray]], dict[str, np.ndarray]]
+#: Side of a tile.
+TILE = 1024
+Arrays = dict[str, np.ndarray]
+#: Of the values and the state of a tile with a ring of one cell around it (NaN beyond the raster), the new state, ring and all.
+Kernel = Callable[[Arrays, Arrays], Arrays]
 
 
-def by_raster(df: DataFrame, values: list[str], results: list[str], kernel: Kernel) -> DataFrame:
-    """kernel over each raster as arrays of its values; its results in cell form.  Cells without a row are NaN."""
+def by_tiles(df: DataFrame, values: list[str], state: dict[str, float], kernel: Kernel, tile: int = TILE) -> DataFrame:
+    """The state that kernel reaches on every raster, in cell form; state: names and initial values.  What stays NaN is NULL."""
     types = {k: df.schema[k].dataType.simpleString() for k in KEY}
+    names = list(state)
 
     def run(cells: pd.DataFrame) -> pd.DataFrame:
         r, c = cells[ROW].to_numpy(), cells[COL].to_numpy()
-        shape = (int(r.max()) + 1, int(c.max()) + 1)
-        arrays = {}
-        for v in values:
-            arrays[v] = np.full(shape, np.nan)
-            arrays[v][r, c] = cells[v].to_numpy(float)
-        out = kernel(arrays)
-        return cells[KEY].assign(**{name: out[name][r, c] for name in results})
+        top, left = int(cells["tr"].iloc[0]) * tile - 1, int(cells["tc"].iloc[0]) * tile - 1
+        own = (r > top) & (r <= top + tile) & (c > left) & (c <= left + tile)
+        if not own.any():  # cells that only border on a tile beyond the raster
+            return cells[own][[*KEY, *values, *names]].assign(__changed=False)
+        shape = (int(r[own].max()) - top + 2, int(c[own].max()) - left + 2)
+
+        def arrays(wanted: list[str]) -> Arrays:
+            out = {v: np.full(shape, np.nan) for v in wanted}
+            for v in wanted:
+                out[v][r - top, c - left] = cells[v].to_numpy(float)
+            return out
+
+        old = arrays(names)
+        new = kernel(arrays(values), {n: x.copy() for n, x in old.items()})
+        at = (r[own] - top, c[own] - left)
+        same = np.all([(new[n][at] == old[n][at]) | (np.isnan(new[n][at]) & np.isnan(old[n][at])) for n in names], axis=0)
+        return cells[own][[*KEY, *values]].assign(**{n: new[n][at] for n in names}, __changed=~same)
 
     ship(df.sparkSession)
-    schema = ", ".join([f"{k} {t}" for k, t in types.items()] + [f"{name} double" for name in results])
-    return df.select(*KEY, *values).groupBy(RASTER).applyInPandas(run, schema)
+    schema = ", ".join([f"{k} {t}" for k, t in types.items()] + [f"{v} double" for v in [*values, *names]] + ["__changed boolean"])
+    tiles = lambda at: F.array_distinct(F.array(*[F.floor((F.col(at) + k) / tile) for k in (-1, 0, 1)]))
+    now = df.select(*KEY, *[F.col(v).cast("double").alias(v) for v in values], *[F.lit(float(x)).alias(n) for n, x in state.items()])
+    size = df.agg(F.max(ROW), F.max(COL)).first()
+    single = size[0] is None or max(size) < tile
+    while True:
+        sent = now.withColumn("tr", F.explode(tiles(ROW))).withColumn("tc", F.explode(tiles(COL))).filter("tr >= 0 and tc >= 0") if not single else now.withColumn("tr", F.lit(0)).withColumn("tc", F.lit(0))
+        solved = sent.groupBy(RASTER, "tr", "tc").applyInPandas(run, schema)
+        if single:
+            return solved.select(*KEY, *names)
+        solved = checkpointed(solved)
+        if solved.filter("__changed").isEmpty():
+            return solved.select(*KEY, *names)
+        now = solved.drop("__changed")
+
+
+def own_cells(shape: tuple[int, int]) -> np.ndarray:
+    """Which cells of a tile aren't of its ring."""
+    out = np.zeros(shape, bool)
+    out[1:-1, 1:-1] = True
+    return out
 
 
-def filled_pits(z: np.ndarray, step: float = 0.0) -> np.ndarray:
-    """The least surface at or above z from which every cell has a path to the edge or to a missing cell that never ascends; with a step, that descends by it at least, so flats drain too."""
+def filled_pits(z: np.ndarray, level: np.ndarray, step: float = 0.0) -> np.ndarray:
+    """The least surface at or above z, given that of the ring, from which every cell has a path to the ring, the raster's edge or a missing cell that never ascends, or with a step that descends by it at least; infinite where none is known yet."""
     h, w = z.shape
-    out, done, queue = z.copy(), np.isnan(z), []
-    for r in range(h):
-        for c in range(w):
-            if not done[r, c] and any(not (0 <= r + a < h and 0 <= c + b < w) or np.isnan(z[r + a, c + b]) for a, b in STEPS):
-                queue.append((z[r, c], r, c))
-    for _, r, c in queue:
-        done[r, c] = True
+    own = own_cells(z.shape) & ~np.isnan(z)
+    edge = np.zeros(z.shape, bool)
+    edge[1:-1, 1:-1] = np.any([np.isnan(z[1 + a : h - 1 + a, 1 + b : w - 1 + b]) for a, b in STEPS], axis=0)
+    out, done = np.where(own, np.inf, level), ~own
+    queue = [(float(level[r, c]), int(r), int(c)) for r, c in np.argwhere(~own & np.isfinite(level) & ~np.isnan(z))]
+    for r, c in np.argwhere(own & edge):
+        out[r, c], done[r, c] = z[r, c], True
+        queue.append((float(z[r, c]), int(r), int(c)))
     heapq.heapify(queue)
     while queue:
-        level, r, c = heapq.heappop(queue)
+        height, r, c = heapq.heappop(queue)
         for a, b in STEPS:
             y, x = r + a, c + b
             if 0 <= y < h and 0 <= x < w and not done[y, x]:
                 done[y, x] = True
-                out[y, x] = max(z[y, x], level + step)
-                heapq.heappush(queue, (out[y, x], y, x))
+                out[y, x] = max(z[y, x], height + step)
+                heapq.heappush(queue, (float(out[y, x]), y, x))
     return out
 
 
-def pit_fill(df: DataFrame, value: str, step: float = 0.0) -> DataFrame:
-    return by_raster(df, [value], ["filled"], lambda a: {"filled": filled_pits(a[value], step)})
+def pit_fill(df: DataFrame, value: str, step: float = 0.0, tile: int = TILE) -> DataFrame:
+    """filled: the surface without pits; with a step, flats drain too."""
+
+    def kernel(a: Arrays, state: Arrays) -> Arrays:
+        return {"filled": np.where(np.isnan(a[value]), np.nan, filled_pits(a[value], state["filled"], step))}
+
+    known = df.select(*KEY, F.col(value).cast("double").alias(value))
+    out = by_tiles(known, [value], {"filled": math.inf}, kernel, tile)
+    return out.select(*KEY, F.when(F.col("filled") != math.inf, F.col("filled")).alias("filled"))
 
 
 class Flow:
@@ -122,6 +166,10 @@ class Flow:
     def __init__(self, to: np.ndarray, part: np.ndarray) -> None:
         self.to, self.part = to, np.where(to >= 0, part, 0.0)
 
+    def without_targets(self, cells: np.ndarray) -> Flow:
+        """The flow but for what goes into some cells."""
+        return Flow(np.where((self.to >= 0) & cells.ravel()[self.to], -1, self.to), self.part)
+
     def levels(self) -> list[np.ndarray]:
         """Cells in groups, each after all that drain to it; cells on cycles are left out."""
         valid = self.to >= 0
@@ -165,51 +213,62 @@ def _flow(known: np.ndarray, ways: list[tuple[np.ndarray, np.ndarray, np.ndarray
     return Flow(np.stack(to, axis=1), np.stack(part, axis=1))
 
 
-def accumulated(flow: Flow, known: np.ndarray, edge_contamination: bool) -> np.ndarray:
-    """Cells that drain through each, itself included; NaN where flow from beyond the measured area may come in."""
+def accumulated(flow: Flow, known: np.ndarray, area: np.ndarray, tainted: np.ndarray) -> Arrays:
+    """Cells that drain through each, itself included, and whether flow from beyond the measured area may come in; given both for the ring."""
     h, w = known.shape
-    area = known.astype(float).ravel()
-    tainted = np.zeros(h * w, bool)
-    if edge_contamination:
-        pad = np.pad(known, 1)
-        tainted = ~np.all([pad[1 + a : 1 + a + h, 1 + b : 1 + b + w] for a, b in STEPS], axis=0).ravel()
+    own = own_cells(known.shape)
+    near_gap = np.zeros(known.shape, bool)
+    near_gap[1:-1, 1:-1] = ~np.all([known[1 + a : h - 1 + a, 1 + b : w - 1 + b] for a, b in STEPS], axis=0)
+    area = np.where(own, known, np.nan_to_num(area)).ravel().astype(float)
+    taint = np.where(own, near_gap, np.nan_to_num(tainted) > 0).ravel()
+    flow = flow.without_targets(~own)
     for cells in flow.levels():
         for k in range(flow.to.shape[1]):
             to = flow.to[cells, k]
             on = to >= 0
             np.add.at(area, to[on], flow.part[cells, k][on] * area[cells][on])
-            np.logical_or.at(tainted, to[on], tainted[cells][on])
-    area[~known.ravel() | tainted] = np.nan
-    return area.reshape(h, w)
+            np.logical_or.at(taint, to[on], taint[cells][on])
+    return {"area": np.where(known, area.reshape(h, w), np.nan), "tainted": taint.reshape(h, w).astype(float)}
+
+
+def _areas(df: DataFrame, values: list[str], flow: Callable[[Arrays], tuple[Flow, np.ndarray]], edge_contamination: bool, tile: int) -> DataFrame:
+    def kernel(a: Arrays, state: Arrays) -> Arrays:
+        way, known = flow(a)
+        return accumulated(way, known, state["area"], state["tainted"])
+
+    out = by_tiles(df, values, {"area": 0.0, "tainted": 0.0}, kernel, tile)
+    return out.select(*KEY, F.when(F.col("tainted") == 0, F.col("area")).alias("area")) if edge_contamination else out.select(*KEY, "area")
 
 
-def d8_area(df: DataFrame, direction: str = "direction", edge_contamination: bool = True) -> DataFrame:
-    """area: the number of cells that drain through each, itself included."""
-    return by_raster(df, [direction], ["area"], lambda a: {"area": accumulated(flow_d8(a[direction]), ~np.isnan(a[direction]), edge_contamination)})
+def d8_area(df: DataFrame, direction: str = "direction", edge_contamination: bool = True, tile: int = TILE) -> DataFrame:
+    """area: the number of cells that drain through each, itself included; NULL where flow from beyond the measured area may come in."""
+    return _areas(df, [direction], lambda a: (flow_d8(a[direction]), ~np.isnan(a[direction])), edge_contamination, tile)
 
 
-def dinf_area(df: DataFrame, angle: str = "angle", measured: str = "slope", spacing: float = 10.0, edge_contamination: bool = True) -> DataFrame:
+def dinf_area(df: DataFrame, angle: str = "angle", measured: str = "slope", spacing: float = 10.0, edge_contamination: bool = True, tile: int = TILE) -> DataFrame:
     """sca: contributing area over cell size; a cell without inflow has the cell size."""
 
-    def kernel(a: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    def flow(a: Arrays) -> tuple[Flow, np.ndarray]:
         known = ~np.isnan(a[measured])
-        return {"sca": accumulated(flow_dinf(a[angle], known), known, edge_contamination) * spacing}
+        return flow_dinf(a[angle], known), known
 
-    return by_raster(df, [angle, measured], ["sca"], kernel)
+    return _areas(df, [angle, measured], flow, edge_contamination, tile).select(*KEY, (F.col("area") * spacing).alias("sca"))
 
 
-def distances_down(df: DataFrame, value: str, angle: str, stream: str, spacing: float = 10.0) -> DataFrame:
+def distances_down(df: DataFrame, value: str, angle: str, stream: str, spacing: float = 10.0, tile: int = TILE) -> DataFrame:
     """dd_s, dd_h, dd_v: flow-weighted mean surface, horizontal and vertical distance along all paths down to a stream; NULL without one."""
+    names = ["dd_s", "dd_h", "dd_v"]
 
-    def kernel(a: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    def kernel(a: Arrays, state: Arrays) -> Arrays:
         z, known = a[value], ~np.isnan(a[value])
         h, w = z.shape
-        flow = flow_dinf(a[angle], known)
-        at_stream = (a[stream] == 1).ravel()
-        flat, found = z.ravel(), np.full((3, h * w), np.nan)
+        own = own_cells(z.shape).ravel()
+        flow = flow_dinf(np.where(own.reshape(h, w), a[angle], np.nan), known)
+        at_stream = (a[stream] == 1).ravel() & own
+        flat, found = z.ravel(), np.where(own, np.nan, np.stack([state[n].ravel() for n in names]))
         found[:, at_stream] = 0.0
         for cells in reversed(flow.levels()):
-            cells = cells[~at_stream[cells]]
+            cells = cells[own[cells] & ~at_stream[cells]]
             total, weight = np.zeros((3, len(cells))), np.zeros(len(cells))
             for k in range(flow.to.shape[1]):
                 to = flow.to[cells, k]
@@ -221,10 +280,9 @@ def distances_down(df: DataFrame, value: str, angle: str, stream: str, spacing:
                 weight[on] += part
             reached = weight > 0
             found[:, cells[reached]] = total[:, reached] / weight[reached]
-        return {n: found[k].reshape(h, w) for k, n in enumerate(("dd_s", "dd_h", "dd_v"))}
+        return {n: found[k].reshape(h, w) for k, n in enumerate(names)}
 
-    out = by_raster(df, [value, angle, stream], ["dd_s", "dd_h", "dd_v"], kernel)
-    return out.select(*KEY, *[F.when(~F.isnan(x), F.col(x)).alias(x) for x in ("dd_s", "dd_h", "dd_v")])
+    return by_tiles(df, [value, angle, stream], dict.fromkeys(names, math.nan), kernel, tile)
 
 
 def fixed_distances(df: DataFrame) -> DataFrame:

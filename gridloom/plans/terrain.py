@@ -39,7 +39,7 @@ def terrain_features(dem: DataFrame, z: str = "z", spacing: float = 10.0) -> Dat
 
 def hydrology_features(dem: DataFrame, z: str = "z", spacing: float = 10.0, stream_cells: int = 350, drain_step: float = 0.001) -> DataFrame:
     """filled, slp, sca, twi_10m and the three distances to streams."""
-    filled = checkpointed(hydrology.pit_fill(dem.select(*KEY, z), z, drain_step).select(*KEY, F.when(~F.isnan("filled"), F.col("filled")).alias("filled")))
+    filled = checkpointed(hydrology.pit_fill(dem.select(*KEY, z), z, drain_step))
     flow = hydrology.dinf(filled, "filled", spacing).withColumnRenamed("slope", "slp")
     sca = hydrology.dinf_area(flow, "angle", "slp", spacing)
     area = hydrology.d8_area(hydrology.d8(filled, "filled", spacing), edge_contamination=False)
@@ -47,7 +47,7 @@ def hydrology_features(dem: DataFrame, z: str = "z", spacing: float = 10.0, stre
     joined = checkpointed(filled.join(flow, KEY).join(streams, KEY).join(sca, KEY))
     distances = hydrology.fixed_distances(hydrology.distances_down(joined, "filled", "angle", "stream", spacing))
     wet = terrain.twi(missing.to_null(F.col("sca")), F.degrees(F.atan("slp"))).alias("twi_10m")
-    return joined.select(*KEY, "filled", "slp", F.when(~F.isnan("sca"), F.col("sca")).alias("sca"), wet).join(distances, KEY)
+    return joined.select(*KEY, "filled", "slp", "sca", wet).join(distances, KEY)
 
 
 def stacked(*layers: DataFrame) -> DataFrame:

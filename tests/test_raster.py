@@ -240,6 +240,26 @@ def test_all_flow_ends_in_sinks(spark, cells, dem):
     assert len(tainted) < dem.size and tainted.r.between(1, 28).all()
 
 
+def test_tiles_with_borders_equal_one_tile(spark, gaps):
+    """Flow over many tile borders, with gaps: the same as in one tile."""
+    df = frame(spark, gaps).cache()
+    for step in (0.0, 0.01):
+        whole, parts = (matrix(hydrology.pit_fill(df, "z", step, tile), "filled") for tile in (1024, 7))
+        assert np.allclose(whole, parts, equal_nan=True) and (np.isnan(whole) == np.isnan(gaps)).all()
+    filled = hydrology.pit_fill(df, "z", 0.01).withColumnRenamed("filled", "z").cache()
+    flow = hydrology.dinf(filled, "z").cache()
+    d8 = hydrology.d8(filled, "z").cache()
+    for edge in (False, True):
+        for f, df_, name in ((hydrology.dinf_area, flow, "sca"), (hydrology.d8_area, d8, "area")):
+            whole, parts = (matrix(f(df_, edge_contamination=edge, tile=tile), name) for tile in (1024, 7))
+            assert np.allclose(whole, parts, equal_nan=True)
+    streams = hydrology.streams(hydrology.d8_area(d8, edge_contamination=False), "area", 20)
+    joined = filled.join(flow.drop("slope"), KEY).join(streams, KEY).cache()
+    for name in ("dd_s", "dd_h", "dd_v"):
+        whole, parts = (matrix(hydrology.distances_down(joined, "z", "angle", "stream", tile=tile), name) for tile in (1024, 7))
+        assert np.allclose(whole, parts, equal_nan=True) and (~np.isnan(whole)).sum() > 30
+
+
 def test_distance_down_a_ramp(spark):
     z = np.repeat(np.arange(8.0)[None, :] * 10, 5, axis=0)
     df = frame(spark, z)
