@@ -17,16 +17,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node, root: of every node of the edges (a, b), the smallest node that edges lead to."""
+    """node, root: of every node of the edges (a, b), the smallest node that edges lead to.
+
+    The least neighbours are written before they're joined, so that the join can split the edges of a node that very many have.
+    """
     edges = checkpointed(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     state = None
     while True:
         # Large star: what is larger than a node moves to the smallest of the node and its neighbours.
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = checkpointed(both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m")))
+        large = checkpointed(both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
         # Small star: a node and what is smaller than it move to the smallest of them.
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = checkpointed(large.groupBy("a").agg(F.min("b").alias("m")))
         stars = F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b")))
         edges = checkpointed(large.join(least, "a").select(F.explode(stars).alias("e")).select("e.*").filter("a <> b").distinct())
         new = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first()
