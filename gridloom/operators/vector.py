@@ -136,7 +136,7 @@ def prefix_filter(attribute: Column, prefixes: tuple[str, ...]) -> Column:
     out = F.lit(False)
     for p in prefixes:
         out = out | attribute.startswith(p)
-    return F.coalesce(out, F.lit(False))
+    return attribute.isNotNull() & out
 
 
 def as_geojson(polygons: DataFrame, *properties: str) -> DataFrame:
