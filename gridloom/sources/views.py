@@ -16,7 +16,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raster of orders: z in cents, whether it's missing (often, or rarely), a zone and a date."""
     k = F.col("o_orderkey")
     return table(spark, sf_dir, "orders").select(
-        F.lit("dem").alias("raster_id"),
+        F.when(k >= 0, "dem").alias("raster_id"),  # no literal: Spark would drop it from join keys
         (k / WIDTH).cast("int").alias("r"),
         (k % WIDTH).cast("int").alias("c"),
         F.round(F.col("o_totalprice") * 100).cast("long").alias("z"),

@@ -257,3 +257,9 @@ def test_quotes_sql(spark):
     con.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", rows)
     expected = sorted(con.execute(f"SELECT {', '.join(names)} FROM ({ORACLES['op7_quotes']})").fetchall())
     assert sorted(tuple(r[n] for n in names) for r in quotes.threads(df).collect()) == expected
+
+
+@pytest.mark.parametrize("name", ["op2_mixing", "op7_quotes", "op9_line_dedup", "op10_quality_rules"])
+def test_native_operators_run_no_python(spark, name):
+    plan = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|InArrow|CartesianProduct", plan)

@@ -20,7 +20,6 @@ def test_no_cartesian_product(spark, name):
 
 
 def test_focal_joins_are_by_key(spark):
-    """The derived raster's id is a constant, which Spark drops from join keys; here it's a column."""
     df = spark.createDataFrame([("a", 0, 0, 1.0), ("b", 0, 0, 2.0)], "raster_id string, r int, c int, z double")
     made = [focal.box_statistics(df, "z", 5), focal.with_second_derivatives(df, "z", 10.0), focal.tri(df, "z"), resample.downsample(df, "z"), tiled.focal_features(df, "z"), fill.median_fill(df, "z"), fill.nearest_fill(df, "z")]
     for x in made:
