@@ -69,7 +69,8 @@ def passages(told: DataFrame) -> DataFrame:
 def parents(told: DataFrame) -> DataFrame:
     """key, parent, parent_turn of the messages that reply to another."""
     held = passages(told).filter("turn is not null").withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit("")))
-    first = held.filter("level = 0").groupBy("conv", "hash").agg(F.min(F.struct("turn", "key")).alias("original"))
+    # Written before it's joined, so that the join can split the quotes of a passage that very many messages quote.
+    first = common.checkpointed(held.filter("level = 0").groupBy("conv", "hash").agg(F.min(F.struct("turn", "key")).alias("original")))
     quoted = held.filter("level > 0").groupBy("conv", "hash", "turn", "key").agg(F.min("level").alias("level"))
     linked = quoted.join(first, ["conv", "hash"]).filter("original.turn < turn")
     best = linked.groupBy("key").agg(F.min(F.struct("level", (-F.col("original.turn")).alias("back"), F.col("original.key").alias("parent"))).alias("best"))

@@ -218,7 +218,9 @@ def links(nodes: DataFrame) -> DataFrame:
     total, both = bit_counts(nodes)
     masks = signature_masks(*allocated(total, both))
     probes = nodes.select("fp", F.posexplode(F.array(*[F.lit(m) for m in masks])).alias("signature", "mask")).select("fp", F.col("signature").cast("long").alias("signature"), F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
-    sizes = probes.groupBy("signature", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("long")).drop("n")
+    sizes = probes.groupBy("signature", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Written before it's joined, so that the join can split a large bucket.
+    sizes = common.checkpointed(sizes.select("signature", "value", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks")))
     dealt = probes.join(sizes, ["signature", "value"]).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("signature", "value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "fp", "block")
@@ -230,10 +232,13 @@ def grouped(docs: DataFrame) -> DataFrame:
     """doc_id, fp, component_id of every document."""
     prints = common.checkpointed(fingerprints(docs))
     nodes = common.checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    found = components(links(nodes)).withColumnRenamed("node", "fp")
-    rooted = nodes.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return prints.join(rooted.join(of_root, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    found = common.checkpointed(components(links(nodes)).withColumnRenamed("node", "fp"))
+    members = found.unionAll(found.select(F.col("root").alias("fp"), "root").distinct())
+    least = common.checkpointed(members.join(nodes, "fp").groupBy("root").agg(F.min("least").alias("id")))
+    grouped_ = members.join(least, "root").select("fp", "id", F.lit(True).alias("linked"))
+    # Written before it's joined, so that the join can split the rows of a fingerprint that very many have.
+    by_print = common.checkpointed(nodes.join(grouped_, "fp", "left").select("fp", F.when(F.col("linked"), F.col("id")).otherwise(F.col("least")).alias("component_id")))
+    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
 def summary(docs: DataFrame) -> DataFrame:
