@@ -39,6 +39,15 @@ SPACE = "\\x09-\\x0D\\x20\\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\
 WORD_END = "</w>"
 #: Before it, all letters were assigned long ago.
 FIRST_RECENT = "\u0530"
+#: Letters that Python's Unicode tables lack and the library's have: first and last (fixed values).
+NEWER = [
+    (0x1C89, 0x1C8A), (0xA7CB, 0xA7CE), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65), (0x10D6F, 0x10D85),
+    (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E), (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3),
+    (0x11BC0, 0x11BE0), (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x16EA0, 0x16EB8), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED), (0x1E5F0, 0x1E5F0),
+]
+#: Lower case of capitals among them (fixed values).
+NEWER_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+NEWER_LOWER |= {0x10D50 + i: 0x10D70 + i for i in range(22)} | {0x16EA0 + i: 0x16EBB + i for i in range(25)}
 SHIFT = 20
 LOW = (1 << SHIFT) - 1
 
@@ -70,7 +79,7 @@ def recent_pieces() -> Callable[[str], list[str]]:
     newer = regex.compile(r"[\p{L}\p{N}]").match
     spans: list[list[int]] = []
     for at in range(ord(FIRST_RECENT), 0x110000):
-        if unicodedata.category(chr(at)) == "Cn" and newer(chr(at)):
+        if unicodedata.category(chr(at)) == "Cn" and newer(chr(at)) and not any(a <= at <= b for a, b in NEWER):
             if spans and spans[-1][1] == at - 1:
                 spans[-1][1] = at
             else:
@@ -177,7 +186,7 @@ class Vocabulary:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
             if (last := max(text)) >= FIRST_RECENT:
-                return recent_pieces()(text.lower())
+                return recent_pieces()(text.lower().translate(NEWER_LOWER))
             if last > "\xff":
                 return self.pieces(text.lower())
         return LATIN_PIECES(text.lower())

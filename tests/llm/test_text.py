@@ -193,3 +193,10 @@ def test_avi_query(odd, none, odd_rows):
     assert by[1, 0].payload_bytes == 576
     ends = {(r.doc_id, r.clip): r for r in avi.clips(odd).filter("doc_id = 4").collect()}
     assert ends[4, 0].start_s == 0 and sum(r.n_frames for r in ends.values()) == by[4, len(odd_rows[3][1].encode())].payload_bytes // 576
+
+
+def test_bpe_equals_library_on_code_points_of_all_planes(library):
+    points = [c for c in [*range(1, 0x3100), *range(0xA000, 0xD800, 3), *range(0xF900, 0x20000, 3), *range(0x20000, 0xE0100, 997)] if not 0xD800 <= c < 0xE000]
+    texts = [f"a{chr(c)}b 1{chr(c)} {chr(c)}z" for c in points]
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    assert bpe.vocabulary(bpe.VOCABULARY).encode_batch(texts) == expected
