@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.operators.components import interior_holes
+from gridloom.operators.focal import with_raster_values
 from gridloom.schema import COL, KEY, RASTER, ROW
 from gridloom.ship import ship
 
@@ -18,7 +19,7 @@ ROWS_TOGETHER, PAIRS = 64, 4_000_000
 def median_fill(df: DataFrame, value: str) -> DataFrame:
     """df with NULLs of value replaced by the median of its raster; a raster without any stays NULL."""
     medians = df.groupBy(RASTER).agg(F.median(value).alias("__median"))
-    return df.join(medians, RASTER).withColumn(value, F.coalesce(F.col(value).cast("double"), "__median")).drop("__median")
+    return with_raster_values(df, medians).withColumn(value, F.coalesce(F.col(value).cast("double"), "__median")).drop("__median")
 
 
 def nearest_fill(df: DataFrame, value: str, where: Column | None = None, also: tuple[str, ...] = ()) -> DataFrame:

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from gridloom.schema import COL, KEY, RASTER, ROW
 
+#: Tables of a row for each raster are broadcast up to so many.
+BROADCAST_RASTERS = 100_000
+
 
 def along_row() -> WindowSpec:
     return Window.partitionBy(RASTER, ROW).orderBy(COL)
@@ -22,10 +25,21 @@ def along_col() -> WindowSpec:
     return Window.partitionBy(RASTER, COL).orderBy(ROW)
 
 
+def with_raster_values(df: DataFrame, by_raster: DataFrame) -> DataFrame:
+    """df joined with a table of a row for each raster.
+
+    The table is collected up to BROADCAST_RASTERS rows and then broadcast, so the cells of a large raster stay where they
+    are; a longer one is joined by shuffling.
+    """
+    rows = by_raster.limit(BROADCAST_RASTERS + 1).collect()
+    if len(rows) > BROADCAST_RASTERS:
+        return df.join(by_raster, RASTER)
+    return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, by_raster.schema)), RASTER)
+
+
 def with_size(df: DataFrame) -> DataFrame:
     """df with the height and width of each raster, as columns n_r and n_c."""
-    sizes = df.groupBy(RASTER).agg((F.max(ROW) + 1).alias("n_r"), (F.max(COL) + 1).alias("n_c"))
-    return df.join(sizes, RASTER)
+    return with_raster_values(df, df.groupBy(RASTER).agg((F.max(ROW) + 1).alias("n_r"), (F.max(COL) + 1).alias("n_c")))
 
 
 def mirrored(df: DataFrame, axis: str, size: str, reach: int) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions.crs import FROM_DEGREES, TO_DEGREES
 from gridloom.functions.terrain import world_x, world_y
-from gridloom.operators.focal import with_size
+from gridloom.operators.focal import with_raster_values, with_size
 from gridloom.schema import COL, KEY, RASTER, ROW
 
 
@@ -41,7 +41,7 @@ def _sources_near(at: Column, new: Column, n: Column) -> Column:
 def upsample(df: DataFrame, value: str, like: DataFrame) -> DataFrame:
     """df on the cells of another raster of the same extent: bilinear between half-pixel centres, over measured cells only."""
     sizes = df.groupBy(RASTER).agg((F.max(ROW) + 1).cast("long").alias("s_r"), (F.max(COL) + 1).cast("long").alias("s_c"))
-    target = with_size(like.select(*KEY)).join(sizes, RASTER)
+    target = with_raster_values(with_size(like.select(*KEY)), sizes)
     near = target.withColumn("sr", F.explode(_sources_near(F.col(ROW).cast("long"), F.col("n_r").cast("long"), F.col("s_r"))))
     near = near.withColumn("sc", F.explode(_sources_near(F.col(COL).cast("long"), F.col("n_c").cast("long"), F.col("s_c"))))
     source = df.select(RASTER, F.col(ROW).alias("at_r"), F.col(COL).alias("at_c"), F.col(value).alias("v")).filter("v is not null")

@@ -19,8 +19,9 @@ def test_no_cartesian_product(spark, name):
     assert "CartesianProduct" not in plan(spark, name)
 
 
-def test_focal_joins_are_by_key(spark):
+def test_focal_joins_are_by_key(spark, monkeypatch):
     df = spark.createDataFrame([("a", 0, 0, 1.0), ("b", 0, 0, 2.0)], "raster_id string, r int, c int, z double")
+    monkeypatch.setattr(focal, "BROADCAST_RASTERS", 0)  # the shuffled join, too
     made = [focal.box_statistics(df, "z", 5), focal.with_second_derivatives(df, "z", 10.0), focal.tri(df, "z"), resample.downsample(df, "z"), tiled.focal_features(df, "z"), fill.median_fill(df, "z"), fill.nearest_fill(df, "z")]
     for x in made:
         assert "NestedLoop" not in x._jdf.queryExecution().toString()
