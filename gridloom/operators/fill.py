@@ -16,10 +16,29 @@ from gridloom.ship import ship
 ROWS_TOGETHER, PAIRS = 64, 4_000_000
 
 
+#: Half the part of a raster's cells, around the middle one, whose values are counted one by one for its median, and the accuracy of the bounds.
+AROUND_MIDDLE, ACCURACY = 0.001, 10_000
+
+
+def medians(df: DataFrame, value: str) -> DataFrame:
+    """(raster_id, median) over measured cells, exact: the mean of the two middle values if they're even in number.
+
+    A sketch bounds the middle values; what lies below is only counted, and no task gets more of a raster than the distinct
+    values within the bounds.
+    """
+    known = df.select(RASTER, F.col(value).cast("double").alias("v")).filter("v is not null")
+    bounds = known.groupBy(RASTER).agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("v", [0.5 - AROUND_MIDDLE, 0.5 + AROUND_MIDDLE], ACCURACY).alias("b"))
+    placed = with_raster_values(known, bounds.select(RASTER, "n", F.col("b")[0].alias("low"), F.col("b")[1].alias("high"))).filter("v <= high")
+    counts = placed.groupBy(RASTER, "n", F.when(F.col("v") >= F.col("low"), F.col("v")).alias("v")).agg(F.count(F.lit(1)).alias("m"))
+    ranked = counts.withColumn("upto", F.sum("m").over(Window.partitionBy(RASTER).orderBy(F.asc_nulls_first("v"))))
+    middle = lambda k: F.min(F.when(F.col("upto") > k, F.col("v")))
+    return ranked.groupBy(RASTER).agg(((middle(F.floor((F.col("n") - 1) / 2)) + middle(F.floor(F.col("n") / 2))) / 2).alias("median"))
+
+
 def median_fill(df: DataFrame, value: str) -> DataFrame:
     """df with NULLs of value replaced by the median of its raster; a raster without any stays NULL."""
-    medians = df.groupBy(RASTER).agg(F.median(value).alias("__median"))
-    return with_raster_values(df, medians).withColumn(value, F.coalesce(F.col(value).cast("double"), "__median")).drop("__median")
+    found = df.select(RASTER).distinct().join(medians(df, value), RASTER, "left")
+    return with_raster_values(df, found.withColumnRenamed("median", "__median")).withColumn(value, F.coalesce(F.col(value).cast("double"), "__median")).drop("__median")
 
 
 def nearest_fill(df: DataFrame, value: str, where: Column | None = None, also: tuple[str, ...] = ()) -> DataFrame:

@@ -125,6 +125,15 @@ def test_fills_of_nothing(spark):
     assert fill.median_fill(empty, "z").filter("z is not null").count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 9, 10, 5000, 5001])
+def test_medians_are_exact(spark, n):
+    r = np.random.default_rng(n)
+    for values in (r.normal(size=n), r.integers(0, 3, n).astype(float), np.full(n, 2.0)):
+        df = spark.createDataFrame([("a", i, 0, float(v)) for i, v in enumerate(values)] + [("a", n, 0, None), ("b", 0, 0, None)], "raster_id string, r int, c int, z double")
+        assert {x.raster_id: x.median for x in fill.medians(df, "z").collect()} == {"a": pytest.approx(np.median(values), abs=0, rel=1e-15)}
+        assert fill.median_fill(df, "z").filter("z is null").collect()[0].raster_id == "b"
+
+
 def areas(mask):
     label, h, w = np.full(mask.shape, -1), *mask.shape
     for i, j in np.argwhere(mask):
