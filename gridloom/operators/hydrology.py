@@ -71,7 +71,7 @@ def streams(df: DataFrame, area: str, least: int = 350) -> DataFrame:
 
 
 #: Side of a tile.
-TILE = 1024
+TILE = 2048
 Arrays = dict[str, np.ndarray]
 #: Of the values and the state of a tile with a ring of one cell around it (NaN beyond the raster), the new state, ring and all.
 Kernel = Callable[[Arrays, Arrays], Arrays]
