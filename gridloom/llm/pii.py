@@ -96,20 +96,21 @@ DISGUISED = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+(?:{
 AT_SIGN, DOT_SIGN = re.compile(rf"(?i){_AT_SIGN}"), re.compile(rf"(?i){_DOT_SIGN}")
 #: Where both signs are plain words, the last label must be one of these endings (fixed values).
 ENDINGS = frozenset("com org net edu gov mil int info biz io ai co me app dev eu us uk de fr es it nl ch at be se no dk fi pl pt ru ua cn jp kr in br au ca mx za".split())
-TRIGGER = re.compile(rf"(?i)\bdot\b|[\[({{<][ \t]*(?:\.|@|at)[ \t]*[\])}}>]|[ \t]@|@[ \t]|\b{_DIGIT}[ \t,-]|[0-9][OoIl|][0-9]")
 
 
 class Rewritten:
-    """A text, the source span of each of its characters, and whether it was rewritten."""
+    """A text, the source span of each of its characters, and whether it was rewritten; the latter are empty as long as nothing was."""
 
     def __init__(self, text: str) -> None:
-        self.text, self.start, self.end, self.changed = text, list(range(len(text))), list(range(1, len(text) + 1)), bytearray(len(text))
+        self.text, self.start, self.end, self.changed = text, [], [], bytearray()
 
     def apply(self, pattern: re.Pattern, rule: Callable[[re.Match], list[tuple[int, int, str]]]) -> None:
         """rule: for a match, the pieces (start, end, what takes their place) in it that are rewritten, in order."""
         pieces = [p for m in pattern.finditer(self.text) for p in rule(m)]
         if not pieces:
             return
+        if not self.changed:
+            self.start, self.end, self.changed = list(range(len(self.text))), list(range(1, len(self.text) + 1)), bytearray(len(self.text))
         out, start, end, changed, at = [], [], [], bytearray(), 0
         for a, b, new in pieces:
             out += (self.text[at:a], new)
@@ -161,11 +162,8 @@ def disguised(m: re.Match) -> list[tuple[int, int, str]]:
 
 def added(text: str, base: list[list[Span]]) -> list[list[Span]]:
     """The spans of each kind that only the rewritten text shows."""
-    alike = not text.isascii() and LOOK_ALIKE.search(text)
-    if not alike and not TRIGGER.search(text):
-        return [[] for _ in KINDS]
     new = Rewritten(text)
-    if alike:
+    if not text.isascii():
         new.apply(LOOK_ALIKE, look_alike)
     new.apply(DIGIT_LETTER, digit_letter)
     new.apply(SPELLED, spelled)

@@ -96,6 +96,7 @@ def test_plain_identifiers():
         ("jоhn@exаmple.com", 0, "jоhn@exаmple.com"),
         ("ａｎｎ＠ｅｘａｍｐｌｅ．ｃｏｍ", 0, "ａｎｎ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
         ("so ann @ example.com it is", 0, "ann @ example.com"),
+        ("write to john at example.com today", 0, "john at example.com"),
         ("call plus one four one five five five five two six seven one now", 3, "plus one four one five five five five two six seven one"),
         ("card four one one one one one one one one one one one one one one one end", 2, "four one one one one one one one one one one one one one one one"),
         ("ip one nine two dot one six eight dot one dot seven", 1, "one nine two dot one six eight dot one dot seven"),
@@ -107,6 +108,16 @@ def test_disguised_identifiers(text, kind, found):
     assert [text[a:b] for a, b in pii.added(text, plain)[kind]] == [found]
 
 
+def test_disguises_do_not_depend_on_other_lines():
+    r = random.Random(4)
+    parts = ["ann", "at", "At", "dot", "[dot]", "(at)", "@", ".", "b.com", "example.org", "one", "two", "point", "plus", "4l5", "-", "\t", "é"]
+    other = "[.] one \xa0\n"
+    for _ in range(5_000):
+        text = " ".join(r.choice(parts) for _ in range(r.randint(1, 9)))
+        alone, beside = (pii.added(t, pii.detect(t)) for t in (text, other + text))
+        assert [[(a + len(other), b + len(other)) for a, b in own] for own in alone] == beside
+
+
 @pytest.mark.parametrize("text", ["look at the dot matrix", "we met at noon", "one two three go", "a plain text", "Всё хорошо"])
 def test_clean_texts_have_no_spans(text):
     assert not any(pii.added(text, pii.detect(text))) and not any(pii.detect(text))
