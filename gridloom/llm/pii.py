@@ -92,10 +92,15 @@ DIGIT_LETTER = re.compile(r"(?<=[0-9])[OoIl|](?=[0-9])")
 _AT_SIGN = r"[ \t]*(?:\[[ \t]*(?:at|@)[ \t]*\]|\([ \t]*(?:at|@)[ \t]*\)|\{[ \t]*(?:at|@)[ \t]*\}|<[ \t]*(?:at|@)[ \t]*>|(?<=[ \t])at(?=[ \t])|@)[ \t]*"
 _DOT_SIGN = r"[ \t]*(?:\[[ \t]*(?:dot|\.)[ \t]*\]|\([ \t]*(?:dot|\.)[ \t]*\)|\{[ \t]*(?:dot|\.)[ \t]*\}|<[ \t]*(?:dot|\.)[ \t]*>|(?<=[ \t])dot(?=[ \t]))[ \t]*"
 _LABEL = r"[A-Za-z0-9-]{1,63}+"
-DISGUISED = re.compile(rf"(?i)(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+(?:{_DOT_SIGN}[A-Za-z0-9_%+-]{{1,64}}+){{0,3}}(?P<at>{_AT_SIGN}){_LABEL}(?:(?:{_DOT_SIGN}|\.){_LABEL}){{1,8}}")
-AT_SIGN, DOT_SIGN = re.compile(rf"(?i){_AT_SIGN}"), re.compile(rf"(?i){_DOT_SIGN}")
-#: Where both signs are plain words, the last label must be one of these endings (fixed values).
+_OF_LOCAL = "A-Za-z0-9._%+-"
+#: From the at sign on; the local part before it is found by LOCAL, so that a long row of dots is read once only.
+DISGUISED = re.compile(rf"(?i)(?<=[{_OF_LOCAL}])(?P<at>{_AT_SIGN}){_LABEL}(?:(?:{_DOT_SIGN}|\.){_LABEL})++")
+LOCAL = re.compile(rf"(?i)(?<![{_OF_LOCAL}])[{_OF_LOCAL}]{{1,64}}+(?:{_DOT_SIGN}[{_OF_LOCAL}]{{1,64}}+(?![{_OF_LOCAL}]))*+")
+DOT_SIGN, ENDING = re.compile(rf"(?i){_DOT_SIGN}"), re.compile(r"[a-z]{2,}")
+#: Where the at sign is a plain word, the last label must be one of these endings (fixed values); if a dot is a plain word too, any
+#: of two letters or more, unless what follows the at is a determiner ("look at the dot matrix").
 ENDINGS = frozenset("com org net edu gov mil int info biz io ai co me app dev eu us uk de fr es it nl ch at be se no dk fi pl pt ru ua cn jp kr in br au ca mx za".split())
+DETERMINERS = frozenset("a an the this that these those each every any some no my your his her its our their".split())
 
 
 class Rewritten:
@@ -148,16 +153,25 @@ def digit_letter(m: re.Match) -> list[tuple[int, int, str]]:
     return [(m.start(), m.end(), "0" if m[0] in "Oo" else "1")]
 
 
-def disguised(m: re.Match) -> list[tuple[int, int, str]]:
-    a, b = m.span("at")
-    plain_at = m["at"].strip().lower() == "at"
-    if plain_at and m[0].rpartition(" ")[2].rpartition(".")[2].lower() not in ENDINGS and not re.search(r"[\[({<]", m[0]):
-        return []
-    text, shift = m.string, m.start()
-    signs = [(x.start(), x.end(), ".") for x in DOT_SIGN.finditer(text, shift, a)]
-    if text[a:b] != "@":
-        signs.append((a, b, "@"))
-    return signs + [(x.start(), x.end(), ".") for x in DOT_SIGN.finditer(text, b, m.end())]
+def disguised() -> Callable[[re.Match], list[tuple[int, int, str]]]:
+    """A rule for the matches of one text, in order: each local part starts behind the address before it."""
+    free = 0
+
+    def rule(m: re.Match) -> list[tuple[int, int, str]]:
+        nonlocal free
+        text, (a, b) = m.string, m.span("at")
+        start = next((x.start() for x in LOCAL.finditer(text, free, a) if x.end() == a), None)
+        free = b if start is None else m.end()
+        if start is None:
+            return []
+        before, after = ([(x.start(), x.end(), ".") for x in DOT_SIGN.finditer(text, *span)] for span in ((start, a), (b, m.end())))
+        if m["at"].strip().lower() == "at" and not re.search(r"[\[({<]", text[start : m.end()]):
+            first, last = (re.split(r"[^a-z0-9-]", text[b : m.end()].lower())[k] for k in (0, -1))
+            if last not in ENDINGS and not ((before or after) and first not in DETERMINERS and ENDING.fullmatch(last)):
+                return []
+        return before + ([(a, b, "@")] if m["at"] != "@" else []) + after
+
+    return rule
 
 
 def added(text: str, base: list[list[Span]]) -> list[list[Span]]:
@@ -167,7 +181,7 @@ def added(text: str, base: list[list[Span]]) -> list[list[Span]]:
         new.apply(LOOK_ALIKE, look_alike)
     new.apply(DIGIT_LETTER, digit_letter)
     new.apply(SPELLED, spelled)
-    new.apply(DISGUISED, disguised)
+    new.apply(DISGUISED, disguised())
     if 1 not in new.changed:
         return [[] for _ in KINDS]
     out = []

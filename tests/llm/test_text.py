@@ -97,6 +97,9 @@ def test_plain_identifiers():
         ("ａｎｎ＠ｅｘａｍｐｌｅ．ｃｏｍ", 0, "ａｎｎ＠ｅｘａｍｐｌｅ．ｃｏｍ"),
         ("so ann @ example.com it is", 0, "ann @ example.com"),
         ("write to john at example.com today", 0, "john at example.com"),
+        ("write to anna at firma dot cz\ttoday", 0, "anna at firma dot cz"),
+        ("or eve dot b at\tshop dot online.", 0, "eve dot b at\tshop dot online"),
+        ("a dot b dot c dot d dot e dot f at example dot org", 0, "a dot b dot c dot d dot e dot f at example dot org"),
         ("call plus one four one five five five five two six seven one now", 3, "plus one four one five five five five two six seven one"),
         ("card four one one one one one one one one one one one one one one one end", 2, "four one one one one one one one one one one one one one one one"),
         ("ip one nine two dot one six eight dot one dot seven", 1, "one nine two dot one six eight dot one dot seven"),
@@ -108,6 +111,11 @@ def test_disguised_identifiers(text, kind, found):
     assert [text[a:b] for a, b in pii.added(text, plain)[kind]] == [found]
 
 
+def test_disguises_in_long_rows():
+    row = "a dot " * 50_000 + "b at example.com and" + " a dot" * 50_000
+    assert pii.added(row, pii.detect(row))[0] == [(0, 6 * 50_000 + len("b at example.com"))]
+
+
 def test_disguises_do_not_depend_on_other_lines():
     r = random.Random(4)
     parts = ["ann", "at", "At", "dot", "[dot]", "(at)", "@", ".", "b.com", "example.org", "one", "two", "point", "plus", "4l5", "-", "\t", "é"]
