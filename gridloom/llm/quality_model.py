@@ -1,13 +1,14 @@
 """A quality classifier: random-indexing word vectors pooled per document, then a small network with calibrated probabilities.
 
 Words, and their shapes (letters told only by case), are hashed to ROWS rows.  Each row has a sparse ternary index vector of
-SIZE entries; the context vector of a row is the sum of the index vectors of its neighbours in the training texts, and its
+SIZE entries; the context vector of a row is the sum of the index vectors of its neighbours in all texts, and its
 word vector is the index vector plus the context vector at unit length.  A document is the mean vector of its words and of
 their shapes, the share of words equal to the word before, and the logarithm of its length.  A network of two layers in
 numpy is trained on them; a temperature, fitted on training rows held back from it, calibrates its probabilities.
 
-The training set is bounded: SAMPLE labelled documents at most, those of least hash among the ones whose doc_id the fold
-admits.  Index, context and network are of fixed size; every document is scored whole.
+Contexts are counted in every document; they need no labels.  The training set of the network and the temperature is bounded:
+SAMPLE labelled documents at most, those of least hash among the ones whose doc_id the fold admits.  Index, context and network
+are of fixed size; every document is scored whole.
 
 Defined results: a null text counts as empty; an empty text is scored like any other; a doc_id with several labels has the
 lowest; without labels of both classes the score is the share of label 1 in the training set, 0.5 if it's empty; a null
@@ -32,6 +33,8 @@ from gridloom.llm import common
 
 ROWS, SIZE, SET_ENTRIES = 1 << 14, 48, 6
 SAMPLE = 4000
+#: Pairs of neighbours that are counted at once.
+PAIRS = 1 << 18
 HIDDEN, EPOCHS, BATCH, RATE, DECAY, HELD_BACK = 32, 40, 64, 3e-3, 1e-4, 5
 #: Words whose rows a worker keeps.
 KEPT_WORDS = 200_000
@@ -159,15 +162,34 @@ def trained(vectors: np.ndarray, x: np.ndarray, y: np.ndarray) -> Model:
 
 def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the neighbours' index vectors by row, over the texts of a task."""
-    index, total = index_vectors(), np.zeros((ROWS, SIZE), np.int64)
+    index, total = index_vectors(), np.zeros(ROWS * SIZE)
+    where = np.nonzero(index)[1].reshape(ROWS, SET_ENTRIES)
+    sign = np.take_along_axis(index, where, axis=1).astype(float)
+
+    def count(words: list[np.ndarray]) -> None:
+        stream = np.concatenate(words)  # a negative word stands between texts
+        for a in range(0, len(stream) - 1, PAIRS):
+            left, right = stream[a : a + PAIRS], stream[a + 1 : a + PAIRS + 1]
+            left = left[: len(right)]
+            inside = (left >= 0) & (right >= 0)
+            left, right = left[inside], right[inside]
+            for x, y in ((left % ROWS, right % ROWS), (left // ROWS, right // ROWS)):
+                for own, other in ((x, y), (y, x)):
+                    total[:] += np.bincount((own[:, None] * SIZE + where[other]).ravel(), sign[other].ravel(), ROWS * SIZE)
+
+    held, size = [], 0
     for b in batches:
         for text in b.column("text").to_pylist():
-            packed = rows_of(text)
-            for own in (packed % ROWS, packed // ROWS):
-                np.add.at(total, own[1:], index[own[:-1]])
-                np.add.at(total, own[:-1], index[own[1:]])
-    used = np.flatnonzero(total.any(axis=1))
-    yield pa.record_batch([pa.array(used), *[pa.array(total[used, i]) for i in range(SIZE)]], ["row", *[f"d{i}" for i in range(SIZE)]])
+            held += [rows_of(text), np.array([-1])]
+            size += len(held[-2]) + 1
+            if size >= PAIRS:
+                count(held)
+                held, size = [], 0
+    if held:
+        count(held)
+    sums = total.astype(np.int64).reshape(ROWS, SIZE)
+    used = np.flatnonzero(sums.any(axis=1))
+    yield pa.record_batch([pa.array(used), *[pa.array(sums[used, i]) for i in range(SIZE)]], ["row", *[f"d{i}" for i in range(SIZE)]])
 
 
 def held_out(doc_id: F.Column) -> F.Column:
@@ -176,7 +198,7 @@ def held_out(doc_id: F.Column) -> F.Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """A model from the labelled documents, sample of them at most; labels: (doc_id, quality)."""
+    """A model from the contexts in all documents and the labelled ones, sample of these at most; labels: (doc_id, quality)."""
     common.ready_for_python(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     chosen = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).withColumn("rank", F.xxhash64("doc_id")).orderBy("rank", "doc_id").limit(sample)
@@ -184,7 +206,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     # The sample is bounded, so it's broadcast; its texts are few, so a few tasks pool them.
     rows = common.checkpointed(texts.join(F.broadcast(chosen), "doc_id").repartition(8, "rank"))
     names = [f"d{i}" for i in range(SIZE)]
-    sums = rows.select("text").mapInArrow(contexts, "row long, " + ", ".join(f"{n} long" for n in names)).groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
+    sums = texts.select("text").mapInArrow(contexts, "row long, " + ", ".join(f"{n} long" for n in names)).groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     vectors = index_vectors().astype(np.float32)
     if len(sums):
         found = sums[names].to_numpy(np.float64)

@@ -209,6 +209,22 @@ def test_classifier_on_held_out_rows(spark):
     assert good.predicted.mean() > 0.97
 
 
+def test_contexts_are_of_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(quality_model, "PAIRS", 7)
+    texts = ["a b c d a a", "", "one", None, "zebra Yak zebra 9 x " * 5, "b a"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1)], "doc_id long, quality int")
+    index = quality_model.index_vectors().astype(float)
+    total = np.zeros_like(index)
+    for t in texts:
+        packed = quality_model.rows_of(t)
+        for own in (packed % quality_model.ROWS, packed // quality_model.ROWS):
+            np.add.at(total, own[1:], index[own[:-1]])
+            np.add.at(total, own[:-1], index[own[1:]])
+    expected = index + total / np.maximum(np.linalg.norm(total, axis=1, keepdims=True), 1e-9)
+    assert np.allclose(quality_model.fit(docs, labels).vectors, expected, atol=1e-5)
+
+
 def test_classifier_odd_rows(spark, odd, none, odd_rows):
     labels = spark.createDataFrame([(d, i % 2) for i, d in enumerate(range(10, 60))] + [(10, 0), (None, 1), (11, None)], "doc_id long, quality int")
     out = quality_model.summary(odd, labels)
