@@ -60,14 +60,20 @@ def majority(hashes: np.ndarray) -> int:
     return out
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id, fp: the fingerprint of every whole text as a signed long."""
+def digest_of(text: F.Column) -> F.Column:
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def fingerprints(docs: DataFrame, digest: bool = False) -> DataFrame:
+    """doc_id, fp: the fingerprint of every whole text as a signed long; with digest, also the digest of the text."""
+    more = ["digest"] if digest else []
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = np.array([majority(shingle_hashes(t or "")) for t in batch.column("text").to_pylist()], np.uint64)
-        return pa.record_batch([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+        return pa.record_batch([batch.column("doc_id"), pa.array(found.view(np.int64)), *[batch.column(c) for c in more]], ["doc_id", "fp", *more])
 
-    return common.by_batch(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")), run, "doc_id long, fp long")
+    text = F.col("text").cast("string")
+    return common.by_batch(docs.select(F.col("doc_id").cast("long"), text, *[digest_of(text).alias(c) for c in more]), run, "doc_id long, fp long" + "".join(f", {c} string" for c in more))
 
 
 def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -228,17 +234,21 @@ def links(nodes: DataFrame) -> DataFrame:
     return dealt.repartition(*bucket).sortWithinPartitions(*bucket).mapInArrow(verified, "a long, b long")
 
 
-def grouped(docs: DataFrame) -> DataFrame:
-    """doc_id, fp, component_id of every document."""
-    prints = common.checkpointed(fingerprints(docs))
+def by_print(prints: DataFrame) -> DataFrame:
+    """fp, root, component_id of every distinct fingerprint: the fingerprint that names its group, and the group's smallest doc_id."""
     nodes = common.checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     found = common.checkpointed(components(links(nodes)).withColumnRenamed("node", "fp"))
     members = found.unionAll(found.select(F.col("root").alias("fp"), "root").distinct())
     least = common.checkpointed(members.join(nodes, "fp").groupBy("root").agg(F.min("least").alias("id")))
-    grouped_ = members.join(least, "root").select("fp", "id", F.lit(True).alias("linked"))
+    grouped_ = members.join(least, "root").select("fp", "root", "id", F.lit(True).alias("linked"))
     # Written before it's joined, so that the join can split the rows of a fingerprint that very many have.
-    by_print = common.checkpointed(nodes.join(grouped_, "fp", "left").select("fp", F.when(F.col("linked"), F.col("id")).otherwise(F.col("least")).alias("component_id")))
-    return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
+    return common.checkpointed(nodes.join(grouped_, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.when(F.col("linked"), F.col("id")).otherwise(F.col("least")).alias("component_id")))
+
+
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, fp, component_id of every document."""
+    prints = common.checkpointed(fingerprints(docs))
+    return prints.join(by_print(prints), "fp").select("doc_id", "fp", "component_id")
 
 
 def summary(docs: DataFrame) -> DataFrame:
@@ -247,11 +257,19 @@ def summary(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """docs with one document of each group: the one of the smallest doc_id; of rows that share it, one."""
-    groups = common.checkpointed(grouped(docs).select("doc_id", "component_id"))
-    kept = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("__copies"))
-    out = docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"])).drop(kept["doc_id"])
+    """docs with one document of each group: the one of the smallest doc_id, null last, then of the least digest of its text.
+
+    Of rows that share a doc_id only the one of the least digest counts; null isn't shared, so each group of rows without ids keeps one.
+    """
+    prints = common.checkpointed(fingerprints(docs, digest=True))
+    # Rows of one doc_id and digest have one text, so they're in one group.
+    texts = prints.groupBy("doc_id", "digest", "fp").agg(F.count(F.lit(1)).alias("n"))
+    own = texts.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("nameless")).agg(F.min(F.struct("digest", "fp", "n")).alias("of"))
+    rows = own.select("doc_id", "of.*").join(by_print(prints), "fp")
+    least = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "n")).alias("of"))
+    kept = common.checkpointed(least.select(F.col("of.doc_id").alias("__id"), F.col("of.digest").alias("__kept"), F.col("of.n").alias("__copies")))
+    out = docs.withColumn("__digest", digest_of(F.col("text"))).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept"))).drop("__id", "__kept")
     several = out.filter("__copies > 1").drop("__copies")
     if several.isEmpty():
-        return out.drop("__copies")
-    return out.filter("__copies = 1").drop("__copies").unionByName(several.dropDuplicates(["doc_id"]))
+        return out.drop("__copies", "__digest")
+    return out.filter("__copies = 1").drop("__copies").unionByName(several.dropDuplicates(["doc_id", "__digest"])).drop("__digest")

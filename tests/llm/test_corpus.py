@@ -1,5 +1,6 @@
 """Operators over whole corpora, against plain versions, and the pipeline."""
 
+import hashlib
 import random
 import re
 from collections import Counter
@@ -97,6 +98,16 @@ def test_simhash_representatives(odd):
     assert 60 in ids and 61 not in ids and 4 in ids
 
 
+def test_simhash_representatives_of_null_and_shared_ids(spark):
+    texts = [" ".join(f"{k}{i}" for i in range(40)) for k in "abcd"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (3, texts[2]), (5, texts[2]), (5, texts[3]), (None, texts[2]), (None, None), (None, "")]
+    kept = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = [(r.doc_id, r.text or "") for r in kept if r.doc_id != 5]
+    assert sorted(found, key=str) == sorted([(None, texts[0]), (None, texts[1]), (3, texts[2]), (None, "")], key=str)
+    least = min(texts[2:], key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert [r.text for r in kept if r.doc_id == 5] == [texts[3]] * (least == texts[3])
+
+
 def plain_line_dedup(rows, least):
     seen, gone = {}, [set() for _ in rows]
     split = [t.split("\n") for _, t in rows]
