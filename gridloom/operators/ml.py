@@ -21,13 +21,14 @@ from gridloom.schema import KEY
 #: The grid of the search, by the names of boosted trees (fixed values); those that MLlib has no equal of are drawn too, and kept with the result.
 GRID = {
     "n_estimators": [100, 200, 300],
-    "max_depth": [4, 6, 8, 10],
-    "learning_rate": [0.01, 0.05, 0.1],
+    "max_depth": [3, 4, 6, 8],
+    "learning_rate": [0.01, 0.05, 0.1, 0.2],
     "subsample": [0.6, 0.8, 1.0],
     "colsample_bytree": [0.6, 0.8, 1.0],
-    "gamma": [0.0, 0.1, 0.5],
-    "reg_alpha": [0.0, 0.1, 1.0],
-    "reg_lambda": [1.0, 2.0, 5.0],
+    "scale_pos_weight": [1, 3, 5, 9],
+    "gamma": [0.0, 0.1, 0.5, 1.0],
+    "reg_alpha": [0.0, 0.1, 0.5],
+    "reg_lambda": [1.0, 1.5, 2.0],
     "min_child_weight": [1, 3, 5],
 }
 
@@ -80,10 +81,16 @@ def evaluate(df: DataFrame, score: str = "probability", by: list[str] | None = N
 
 
 def search(df: DataFrame, features: list[str], points: list[dict], key: list[str], folds: int = 5, parallelism: int = 4, seed: int = 42) -> tuple[CrossValidatorModel, list[tuple[dict, float, float]]]:
-    """Cross-validated search by AUC over stratified folds; (point, mean, deviation) by falling mean."""
+    """Cross-validated search by AUC over stratified folds; (point, mean, deviation) by falling mean.
+
+    Positives weigh as much as a point's scale_pos_weight says, or else the ratio of negatives to positives; the AUC is without weights.
+    """
     folded = sampling.stratified_folds(weighted(df), "label", seed, *key, folds=folds)
+    scales = {float(p["scale_pos_weight"]): f"weight_{i}" for i, p in enumerate(points) if "scale_pos_weight" in p}
+    folded = folded.withColumns({name: F.when(F.col("label") == 1, F.lit(w)).otherwise(1.0) for w, name in scales.items()})
+    column = lambda p: scales[float(p["scale_pos_weight"])] if "scale_pos_weight" in p else "weight"
     gbt = boosted_trees(points[0])
-    maps = [{gbt.maxIter: int(p["n_estimators"]), gbt.maxDepth: int(p["max_depth"]), gbt.stepSize: float(p["learning_rate"]), gbt.subsamplingRate: float(p["subsample"]), gbt.featureSubsetStrategy: str(p["colsample_bytree"]), gbt.minInstancesPerNode: int(p["min_child_weight"])} for p in points]
+    maps = [{gbt.weightCol: column(p), gbt.maxIter: int(p["n_estimators"]), gbt.maxDepth: int(p["max_depth"]), gbt.stepSize: float(p["learning_rate"]), gbt.subsamplingRate: float(p["subsample"]), gbt.featureSubsetStrategy: str(p["colsample_bytree"]), gbt.minInstancesPerNode: int(p["min_child_weight"])} for p in points]
     validator = CrossValidator(estimator=Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), gbt]), estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(numBins=0), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
     model = validator.fit(folded)
     found = sorted(zip(points, model.avgMetrics, model.stdMetrics, strict=True), key=lambda x: -x[1])

@@ -154,6 +154,19 @@ def test_models(spark):
     assert found[0][1] >= found[1][1] and found[0][0]["max_depth"] == 3
 
 
+def test_search_weighs_positives_by_the_point(spark):
+    assert set(ml.GRID["scale_pos_weight"]) == {1, 3, 5, 9} and 0.2 in ml.GRID["learning_rate"] and 3 in ml.GRID["max_depth"]
+    r = np.random.default_rng(13)
+    df = spark.createDataFrame([(i, float(a), int(r.random() < a / 2)) for i, a in enumerate(r.random(300))], "id long, a double, label int")
+    base = files.DEFAULTS | {"max_depth": 2, "n_estimators": 1}
+    shares = []
+    for w in (1, 9):
+        model, found = ml.search(df, ["a"], [base | {"scale_pos_weight": w}], ["id"], folds=2, parallelism=2)
+        assert found[0][0]["scale_pos_weight"] == w
+        shares.append(ml.probability(model, df).agg({"probability": "avg"}).first()[0])
+    assert shares[0] < shares[1] - 0.1
+
+
 def test_second_order_trees(spark):
     r = np.random.default_rng(12)
     rows = [(i, float(a), float(b) if i % 50 else None, float(c), int(a + 0.3 * b > 0.8)) for i, (a, b, c) in enumerate(r.random((800, 3)))]
