@@ -2,18 +2,43 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+CLEAN = "spark.cleaner.referenceTracking.cleanCheckpoints"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to the folder of spark.checkpoint.dir, with its lineage cut."""
+    """df written to the folder of spark.checkpoint.dir, with its lineage cut, and the estimate of its size too.
+
+    A join's estimated size is the product of its sides', so that estimates handed on from round to round would soon have
+    millions of digits; adaptive execution goes by measured sizes.  The files go when nothing refers to them any longer.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint(eager=True)
+    context = spark.sparkContext
+    conf = context._jsc.sc().conf()
+    if not conf.contains(CLEAN):
+        conf.set(CLEAN, "true")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or local_folder(context.master))
+    written = df.checkpoint(eager=True)
+    plain = spark._jsparkSession.internalCreateDataFrame(written._jdf.queryExecution().toRdd(), written._jdf.schema(), False)
+    return DataFrame(plain, spark)
+
+
+def local_folder(master: str) -> str:
+    """A temporary folder, which only a driver that runs all tasks itself can share with them."""
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    folder = tempfile.mkdtemp(prefix="checkpoint-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def components(edges: DataFrame) -> DataFrame:
