@@ -1,22 +1,28 @@
-"""Repeated runs of lines, found by distributed prefix doubling and deleted but for their first copy; DataFrame operations only.
+"""Repeated runs of lines, found in a suffix array and deleted but for their first copy; DataFrame operations only.
 
-The lines with a word are a sequence of line ids, one sequence per document.  Prefix doubling names runs of 1, 2, 4, ...
-lines: the name of 2k lines at a place comes from the names of the k lines there and k lines on.  After each round the
-places whose name occurs once are dropped: their suffix has a place of its own in the suffix array, and no longer run from
-there repeats.  What stays are the intervals of the suffix array with a common prefix of that length.  A run counts if it
-has MIN_WORDS words, so the shortest such run from each line on and up to each line decide: its name joins those of two
-overlapping runs of a power of two.  Every repeated run of MIN_WORDS words or more is a union of them.
+The lines with a word are a sequence of line ids (two hashes of 64 bits with different seeds), one sequence per document.
+Documents of equal sequences form one class from the start: only their first goes on, the others are wholly copies of it.
+
+Suffix array: prefix doubling ranks the suffixes by their first 1, 2, 4, ... lines.  A rank comes from sorting the distinct
+pairs of the ranks of the two halves, so it's exact and in order: the suffixes of one rank are an interval of the suffix
+array whose common prefix has that length at least.  A suffix alone in its interval leaves, so ranks are kept as long as
+something repeats.
+
+Longest common prefixes: for each place the longest prefix that an earlier place has too is found by descent through the
+rounds, from long to short: intervals are split by the rank of what follows them, and a place that isn't the first of its
+part moves on into it, while the first of a part stays behind as its representative.  The lengths so found are the maximal
+repeated runs: of those that end at one line, the longest counts.  A run counts if it has MIN_WORDS words, and its lines go.
 
 Defined results: the first copy, by doc_id (null first), then text hash, then line, stays; lines without a word are kept
 and don't part a run; a document that loses nothing keeps its text as it is, a null text stays null and an empty one empty;
-rows of equal doc_id and text count as one place and lose the same lines; an empty table gives no rows; further columns
-are carried along whatever their names, and line ids are 64-bit hashes.
+rows of equal doc_id and text count as one place and lose the same lines; a very long text is one row in one task where it's
+split and put together, and a row for each line in between; an empty table gives no rows; further columns are carried along
+whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,8 +31,10 @@ from gridloom.llm import common
 
 MIN_WORDS = 10
 #: Names of the columns that the operator adds for its own use.
-KEY, DELETED = "__line_key", "__deleted_lines"
+KEY, ID, DELETED, WHOLE = "__line_key", "__line_id", "__deleted_lines", "__whole"
 WORD = "[^ \\t-\\r]+"
+#: Seeds the second hash of a line and of a sequence of lines.
+SALT = "second"
 
 
 def lines_of(text: Column) -> Column:
@@ -44,70 +52,147 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def words_up_to(line: Column, most: int) -> Column:
     """The number of words of a line that has one; from most on, any number from there on: only that much of the line is split."""
-    return F.size(F.split(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), "[ \t-\r]+", most + 1))
-
-
-def places(docs: DataFrame, min_words: int) -> DataFrame:
-    """doc_id, key, at (among the lines with a word), name of the line, and the lengths of the shortest runs of min_words words from it on and up to it, null if there's none."""
-    own = F.filter(lines_of(docs["text"]), lambda x: x.rlike(WORD))
-    df = docs.select(docs["doc_id"].cast("long").alias("doc_id"), key_of(docs).alias("key"), F.transform(own, lambda x: F.struct(F.xxhash64(x).alias("name"), words_up_to(x, min_words).alias("n"))).alias("line")).distinct()
-
-    df = df.select("doc_id", "key", F.posexplode("line").alias("at", "line"))
+    # Possessive, so that a line is read once; most lines need no more.
+    many = line.rlike("\\A[ \\t-\\r]*+(?:[^ \\t-\\r]++[ \\t-\\r]++){%d}[^ \\t-\\r]" % max(most - 1, 0))
+    return F.when(many, most).otherwise(F.size(F.split(F.btrim(line, F.lit(" \t\n\x0b\x0c\r")), "[ \t-\r]+", most + 1)))
+
+
+def first_hash(value: Column) -> Column:
+    return F.xxhash64(value)
+
+
+def second_hash(value: Column) -> Column:
+    return F.xxhash64(F.lit(SALT), value)
+
+
+def sequences(docs: DataFrame, min_words: int) -> DataFrame:
+    """doc_id, key, two hashes of the sequence of lines with a word, and that sequence: two hashes and the number of words of each line."""
+    wordy = F.filter(lines_of(docs["text"]), lambda x: x.rlike(WORD))
+    lines = F.transform(wordy, lambda x: F.struct(first_hash(x).alias("a"), second_hash(x).alias("b"), words_up_to(x, min_words).alias("n")))
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), key_of(docs).alias("key"), lines.alias("lines"))
+    return own.select("doc_id", "key", F.xxhash64("lines").alias("seq_a"), F.xxhash64(F.lit(SALT), "lines").alias("seq_b"), "lines")
+
+
+def numbered(df: DataFrame, *order: str) -> DataFrame:
+    """df with the column number: 0, 1, 2, ... in that order.  A number for each partition is gathered, none for each row."""
+    placed = common.checkpointed(df.orderBy(*order).withColumn("number", F.monotonically_increasing_id()))
+    part = F.shiftright("number", 33).cast("int")
+    sizes = {r["part"]: r["count"] for r in placed.groupBy(part.alias("part")).count().collect()}
+    before = [sum(n for p, n in sizes.items() if p < k) for k in range(max(sizes, default=0) + 1)]
+    return placed.withColumn("number", F.get(F.lit(before).cast("array<bigint>"), part) + F.col("number").bitwiseAND((1 << 33) - 1))
+
+
+def ranked(df: DataFrame, *name: str, ordered: bool = True) -> DataFrame:
+    """name columns, first, rank: the names that two rows or more have, with the first place that has them and their rank, in order or just a number of their own."""
+    found = df.groupBy(*name).agg(F.min("pos").alias("first"), F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+    # Written before it's joined, so that the join can split the partition of a name that very many rows have.
+    found = found.orderBy(*name) if ordered else found
+    return common.checkpointed(found.select(*name, "first", F.monotonically_increasing_id().alias("rank")))
+
+
+def intervals(places: DataFrame) -> list[DataFrame]:
+    """By round k, of every place that shares its next 2^k lines with another: pos, rank by these lines, and the first such place; in round 0 also the line's words."""
+    names = ["a", "b"]
+    rounds = [common.checkpointed(places.join(ranked(places, *names), names).select("pos", "rank", "first", "n"))]
+    while True:
+        here = rounds[-1].select("pos", "rank")
+        there = here.select((F.col("pos") - (1 << (len(rounds) - 1))).alias("pos"), F.col("rank").alias("next"))
+        pairs = common.checkpointed(here.join(there, "pos").select("pos", F.col("rank").alias("half"), "next"))
+        longer = ranked(pairs, "half", "next")
+        if longer.isEmpty():
+            return rounds
+        rounds.append(common.checkpointed(pairs.join(longer, ["half", "next"]).select("pos", "rank", "first")))
+
+
+def longest(rounds: list[DataFrame]) -> DataFrame:
+    """pos, len of every place whose line occurs earlier: the length of its longest prefix that occurs at an earlier place.
+
+    A row of state is a place of an interval (len, interval); those that don't seek only stand for the earlier places.
+    Each interval has one of these at most, so there are at most two rows for a place.
+    """
+    state, step = None, 0
+    for k in reversed(range(len(rounds))):
+        inside = rounds[k].filter("pos > first").select("pos", "rank", "first")
+        if k + 1 < len(rounds):
+            further = rounds[k + 1].select("pos", F.col("first").alias("later"))
+            inside = inside.join(further, "pos", "left").filter("later is null or later = pos")
+        size = F.lit(1 << k).cast("long").alias("len")
+        seeking = inside.select("pos", size, F.col("rank").alias("interval"), F.lit(True).alias("seeks"))
+        standing = inside.select(F.col("first").alias("pos"), size, F.col("rank").alias("interval"), F.lit(False).alias("seeks")).distinct()
+        entering = seeking.unionAll(standing)
+        state = entering if state is None else state.unionAll(entering)
+        if not k:
+            break
+        step = 1 << (k - 1)
+        there = rounds[k - 1].select(F.col("pos").alias("on"), F.col("rank").alias("next"))
+        state = common.checkpointed(state.withColumn("on", F.col("pos") + F.col("len")).join(there, "on", "left").drop("on"))
+        parts = ranked(state.filter("next is not null"), "len", "interval", "next", ordered=False)
+        moved = F.coalesce(F.col("pos") > F.col("first"), F.lit(False))
+        after = state.join(parts, ["len", "interval", "next"], "left").select("pos", F.when(moved, F.col("len") + step).otherwise(F.col("len")).alias("len"), F.when(moved, F.col("rank")).otherwise(F.col("interval")).alias("interval"), "seeks")
+        stays = parts.select(F.col("first").alias("pos"), F.col("len") + step, F.col("rank").alias("interval"), F.lit(False).alias("seeks"))
+        # Dealt anew, as a union has the partitions of both sides, round after round.
+        state = common.checkpointed(after.unionAll(stays).repartition("pos"))
+    return state.filter("seeks").select("pos", "len")
+
+
+def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, DataFrame]:
+    """The maximal repeated runs (doc_id, key, at, length, words; later than another copy) and the documents (doc_id, key) that are copies as a whole.
+
+    Runs are of the first documents of each sequence of lines; both have min_words words at least, of a line min_words count at most.
+    """
+    own = common.checkpointed(sequences(docs, min_words).filter(F.size("lines") > 0))
+    firsts = own.groupBy("seq_a", "seq_b").agg(F.min(F.struct("doc_id", "key", "lines")).alias("of"))
+    texts = numbered(firsts.select("seq_a", "seq_b", "of.*"), "doc_id", "key")
+
+    enough = F.aggregate("lines", F.lit(0).cast("long"), lambda s, x: s + x["n"]) >= min_words
+    of = texts.select("seq_a", "seq_b", F.col("doc_id").alias("first_id"), F.col("key").alias("first_key"))
+    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("key") == F.col("first_key"))
+    copies = own.filter(enough).select("doc_id", "key", "seq_a", "seq_b").join(of, ["seq_a", "seq_b"]).filter(~same).select("doc_id", "key").distinct()
+
+    # Lines have places in one row of all documents; between two documents there's a place without a line.
+    width = 1 + (texts.agg(F.max(F.size("lines"))).first()[0] or 0)
+    places = texts.select("number", F.posexplode("lines").alias("at", "line")).select((F.col("number") * width + F.col("at")).alias("pos"), "line.a", "line.b", F.col("line.n").cast("long").alias("n"))
+    rounds = intervals(places)
+    runs = longest(rounds).groupBy((F.col("pos") + F.col("len")).alias("end")).agg(F.min("pos").alias("pos"))
+
+    number = F.expr(f"pos div {width}")
+    words = rounds[0].select("pos", "n", F.sum("n").over(Window.partitionBy(number).orderBy("pos")).alias("upto"))
+    begin = words.select("pos", (F.col("upto") - F.col("n")).alias("before"))
+    close = words.select((F.col("pos") + 1).alias("end"), "upto")
+    runs = runs.join(begin, "pos").join(close, "end").withColumn("words", F.col("upto") - F.col("before")).filter(F.col("words") >= min_words)
+    runs = common.checkpointed(runs.select(number.alias("number"), F.expr(f"cast(pos % {width} as int)").alias("at"), (F.col("end") - F.col("pos")).cast("int").alias("length"), "words"))
+    return runs.join(texts.select("number", "doc_id", "key"), "number").select("doc_id", "key", "at", "length", "words"), copies
+
+
+def deletions(docs: DataFrame, min_words: int) -> DataFrame:
+    """KEY and ID of the documents that lose lines, the lines (among those with a word) that go, and whether all of them do."""
+    runs, copies = repeated_runs(docs, min_words)
+    # Runs that end later don't begin earlier, so each adds what lies behind the end of the one before.
     row = Window.partitionBy("key", "doc_id").orderBy("at")
-    df = df.select("doc_id", "key", "at", F.col("line.name").alias("name"), F.col("line.n").alias("n"))
-    # Sums over a text's lines give both lengths: they end where the running sum has grown by min_words.
-    df = df.withColumn("to", F.sum("n").over(row.rowsBetween(Window.unboundedPreceding, 0)))
-    ahead = [F.lead("to", k).over(row) - F.col("to") + F.col("n") for k in range(min_words)]
-    behind = [F.col("to") - F.lag("to", k).over(row) + F.lag("n", k).over(row) for k in range(min_words)]
-    length = lambda sums: F.coalesce(*[F.when(s >= min_words, k + 1) for k, s in enumerate(sums)])
-    return df.select("doc_id", "key", "at", "name", length(ahead).alias("onward"), length(behind).alias("upto"))
-
-
-def repeated(named: DataFrame, *name: str) -> DataFrame:
-    """The rows of named (doc_id, key, at, name columns, ...) whose name occurs twice or more, with the first place that has it."""
-    # Both are written by themselves, so that the join can split the partition of a name that very many rows have.
-    named = common.checkpointed(named)
-    first = named.groupBy(*name).agg(F.min(F.struct("doc_id", "key", "at")).alias("first"), F.count(F.lit(1)).alias("copies"))
-    return named.join(common.checkpointed(first.filter("copies > 1").drop("copies")), list(name))
-
-
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """key, at, length of every shortest run of min_words words that occurs at an earlier place too."""
-    common_prefix = common.checkpointed(repeated(places(docs, min_words), "name").select("doc_id", "key", "at", "name", "onward", "upto"))
-    begin = lambda length, start: F.when(F.col(length).isNotNull(), F.struct((F.col("at") + start).alias("at"), F.col(length).alias("length")))
-    wanted = common_prefix.select("key", F.explode(F.array_compact(F.array(begin("onward", F.lit(0)), begin("upto", 1 - F.col("upto"))))).alias("run")).select("key", "run.*").distinct()
-    runs, size = [], 1
-    while size <= min_words:
-        ahead = Window.partitionBy("key", "doc_id").orderBy("at")
-        there = lambda k: F.first("name").over(ahead.rangeBetween(k, k))  # noqa: B023, E731
-        # Runs of size to 2 * size - 1 lines: their name joins that of their first size lines and that of their last.
-        lengths = [m for m in range(size, min(2 * size, min_words + 1))]
-        ends = F.coalesce(*[F.when(F.col("length") == m, there(m - size)) for m in lengths])
-        named = common_prefix.select("doc_id", "key", "at", "name").join(wanted.filter(F.col("length").between(lengths[0], lengths[-1])), ["key", "at"], "left")
-        pairs = named.withColumn("last", ends).filter(F.col("length").isNotNull() & F.col("last").isNotNull())
-        found = repeated(pairs, "length", "name", "last")
-        runs.append(found.filter(F.struct("doc_id", "key", "at") != F.col("first")).select("key", "at", "length"))
-        size *= 2
-        if size <= min_words:
-            longer = common_prefix.withColumn("next", there(size // 2)).filter(F.col("next").isNotNull()).withColumn("name", F.xxhash64("name", "next")).drop("next")
-            common_prefix = common.checkpointed(repeated(longer, "name").drop("first"))
-    return reduce(DataFrame.unionAll, runs)
+    end = F.col("at") + F.col("length")
+    runs = runs.withColumn("from", F.greatest("at", F.coalesce(F.lag(end).over(row), F.lit(0))))
+    own = runs.groupBy("key", "doc_id").agg(F.flatten(F.collect_list(F.sequence("from", end - 1))).alias(DELETED))
+    whole = copies.select("key", "doc_id", F.array().cast("array<int>").alias(DELETED), F.lit(True).alias(WHOLE))
+    return own.withColumn(WHOLE, F.lit(False)).unionAll(whole).withColumnsRenamed({"key": KEY, "doc_id": ID})
 
 
 def deduplicated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs without later copies of repeated runs of lines; with the columns n_lines and n_deleted behind its own."""
-    runs = repeated_runs(docs, min_words).groupBy(F.col("key").alias(KEY)).agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("at", F.col("at") + F.col("length") - 1)))).alias(DELETED))
-    df = docs.withColumn(KEY, key_of(docs)).join(runs.hint("shuffle_hash"), KEY, "left")
-    lines, deleted = lines_of(F.col("text")), F.col(DELETED)
+    gone = common.checkpointed(deletions(docs, min_words))
+    keyed = docs.withColumn("__key", key_of(docs))
+    df = keyed.join(gone, (keyed["__key"] == gone[KEY]) & keyed["doc_id"].cast("long").eqNullSafe(gone[ID]), "left")
+    lines, deleted, whole = lines_of(F.col("text")), F.col(DELETED), F.coalesce(WHOLE, F.lit(False))
 
     def kept(own: Column) -> Column:
         every = F.sequence(F.lit(0), F.size(own) - 1)
         left = lambda wordy: F.array_except(every, F.transform(deleted, lambda at: F.get(wordy, at)))
         return F.array_join(F.transform(bound(F.filter(every, lambda i: F.get(own, i).rlike(WORD)), left), lambda i: F.get(own, i)), "\n")
 
-    text = F.when(deleted.isNull(), F.col("text")).otherwise(bound(lines, kept))
-    counts = [F.size(F.filter(lines, lambda x: x.rlike(WORD))).cast("long").alias("n_lines"), F.coalesce(F.size(deleted), F.lit(0)).cast("long").alias("n_deleted")]
-    return df.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_deleted")], *counts)
+    wordless = F.array_join(F.filter(lines, lambda x: ~x.rlike(WORD)), "\n")
+    text = F.when(deleted.isNull(), F.col("text")).when(whole, wordless).otherwise(bound(lines, kept))
+    n_lines = F.size(F.filter(lines, lambda x: x.rlike(WORD))).cast("long")
+    n_deleted = F.when(whole, n_lines).otherwise(F.coalesce(F.size(deleted), F.lit(0))).cast("long")
+    return df.select(*[text.alias(c) if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_deleted")], n_lines.alias("n_lines"), n_deleted.alias("n_deleted"))
 
 
 def remaining(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -134,13 +134,67 @@ def test_line_dedup(spark):
     assert {x.doc_id: (x.text, x.n_deleted) for x in line_dedup.deduplicated(df).collect()} == plain_line_dedup(rows, line_dedup.MIN_WORDS)
 
 
+def plain_runs(sequences):
+    """(document, at, length) of the maximal runs that occur at an earlier place too, by a suffix array that is sorted whole."""
+    places = [(d, i) for d, s in enumerate(sequences) for i in range(len(s))]
+    array = sorted(places, key=lambda p: sequences[p[0]][p[1] :])
+
+    def common(p, q):
+        n = 0
+        for x, y in zip(sequences[p[0]][p[1] :], sequences[q[0]][q[1] :], strict=False):
+            if x != y:
+                break
+            n += 1
+        return n
+
+    longest = {}
+    for k, p in enumerate(array):
+        best = 0
+        for step in (-1, 1):  # the least common prefix on the way to a neighbour only falls
+            shared, j = 10**9, k
+            while 0 <= j + step < len(array) and shared > best:
+                shared = min(shared, common(array[j], array[j + step]))
+                j += step
+                if array[j] < p:
+                    best = max(best, shared)
+        longest[p] = best
+    ends = {}
+    for (d, i), n in sorted(longest.items()):
+        if n:
+            ends.setdefault((d, i + n), i)
+    return {(d, i, e - i) for (d, e), i in ends.items()}
+
+
+@pytest.mark.parametrize("same_hash", [None, "first_hash"])
+def test_line_runs_are_those_of_a_suffix_array(spark, monkeypatch, same_hash):
+    """Also where all lines have the same first hash."""
+    if same_hash:
+        monkeypatch.setattr(line_dedup, same_hash, lambda value: line_dedup.F.lit(7).cast("long"))
+    r = random.Random(11)
+    parts = [[r.choice("abcd") for _ in range(r.randint(1, 12))] for _ in range(8)]
+    sequences = [[x for _ in range(r.randint(0, 4)) for x in r.choice(parts)] for _ in range(40)] + [["a"] * 13, ["a"] * 30]
+    sequences = [s for k, s in enumerate(sequences) if s and s not in sequences[:k]]
+    df = spark.createDataFrame([(d, "\n".join(s)) for d, s in enumerate(sequences)], "doc_id long, text string")
+    runs, copies = line_dedup.repeated_runs(df, 1)
+    assert {(x.doc_id, x["at"], x.length) for x in runs.collect()} == plain_runs(sequences) and copies.count() == 0
+
+
+def test_whole_copies_of_lines(spark):
+    long, short = "one two three four five six\n\nseven eight nine ten", "too short\nto count"
+    rows = [(4, long), (2, long), (2, long.replace("\n\n", "\n \n")), (None, long), (3, short), (1, short), (5, "new\n" + long)]
+    got = line_dedup.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(x.doc_id, x.text, x.n_deleted) for x in got} == {(None, long, 0), (2, "", 2), (2, " ", 2), (4, "", 2), (3, short, 0), (1, short, 0), (5, "new\n", 2)}
+
+
 def test_line_dedup_odd_rows(odd, none, odd_rows):
     out = line_dedup.deduplicated(odd)
     assert set(odd.columns) <= set(out.columns) and out.count() == len(odd_rows)
     by = {}
     for x in out.collect():
         by.setdefault(x.doc_id, []).append(x)
-    assert by[1][0].text is None and by[2][0].text == "" and by[60][0].n_deleted == 0 and by[61][0].text == "" or by[61][0].text == "and a second line"
+    assert by[1][0].text is None and by[2][0].text == "" and by[60][0].n_deleted == 0
+    assert [(x.text, x.n_deleted) for i in range(61, 80) for x in by[i]] == [("", 2)] * 19
+    assert [x.n_deleted for x in by[5]] == [0, 0, 0]
     assert line_dedup.deduplicated(none).count() == line_dedup.remaining(none).count() == 0
     assert line_dedup.remaining(odd).columns == odd.columns
 
