@@ -3,10 +3,10 @@
 The lines with a word are a sequence of line ids (two hashes of 64 bits with different seeds), one sequence per document.
 Documents of equal sequences form one class from the start: only their first goes on, the others are wholly copies of it.
 
-Suffix array: prefix doubling ranks the suffixes by their first 1, 2, 4, ... lines.  A rank comes from sorting the distinct
-pairs of the ranks of the two halves, so it's exact and in order: the suffixes of one rank are an interval of the suffix
-array whose common prefix has that length at least.  A suffix alone in its interval leaves, so ranks are kept as long as
-something repeats.
+Suffix array: prefix doubling, three doublings a round, ranks the suffixes by their first 1, 8, 64, ... lines.  A rank comes
+from sorting the distinct tuples of the ranks of the eighths, so it's exact and in order: the suffixes of one rank are an
+interval of the suffix array whose common prefix has that length at least.  A suffix alone in its interval leaves, so there
+are rounds as long as something repeats.
 
 Longest common prefixes: for each place the longest prefix that an earlier place has too is found by descent through the
 rounds, from long to short: intervals are split by the rank of what follows them, and a place that isn't the first of its
@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from gridloom.llm import common
 
 MIN_WORDS = 10
+#: Ranks that make one of the next round: fewer rounds, each of which writes its ranks, for wider keys.
+TUPLE = 8
 #: Names of the columns that the operator adds for its own use.
 KEY, ID, DELETED, WHOLE = "__line_key", "__line_id", "__deleted_lines", "__whole"
 WORD = "[^ \\t-\\r]+"
@@ -90,18 +92,25 @@ def ranked(df: DataFrame, *name: str, ordered: bool = True) -> DataFrame:
     return common.checkpointed(found.select(*name, "first", F.monotonically_increasing_id().alias("rank")))
 
 
-def intervals(places: DataFrame) -> list[DataFrame]:
-    """By round k, of every place that shares its next 2^k lines with another: pos, rank by these lines, and the first such place; in round 0 also the line's words."""
-    names = ["a", "b"]
-    rounds = [common.checkpointed(places.join(ranked(places, *names), names).select("pos", "rank", "first", "n"))]
+def level(named: DataFrame, size: int, width: int) -> DataFrame:
+    """named (pos, rank, first, ...; ranks by the next size lines) and names: the rank and those that follow it size, 2 * size, ... lines on, TUPLE at most, up to a gap."""
+    row = Window.partitionBy(F.expr(f"pos div {width}")).orderBy("pos")
+    on = [F.col("rank"), *[F.first("rank").over(row.rangeBetween(k * size, k * size)) for k in range(1, TUPLE)]]
+    df = named.withColumns({f"on{k}": x for k, x in enumerate(on)})
+    together = F.coalesce(*[F.when(F.col(f"on{k}").isNull(), k) for k in range(1, TUPLE)], F.lit(TUPLE))
+    return common.checkpointed(df.select(*named.columns, F.slice(F.array(*[f"on{k}" for k in range(TUPLE)]), 1, together).alias("names")))
+
+
+def intervals(places: DataFrame, width: int) -> list[DataFrame]:
+    """By round k, of every place that shares its next TUPLE^k lines with another: pos, rank by these lines, the first such place and names; in round 0 also the line's words."""
+    named = places.join(ranked(places, "a", "b"), ["a", "b"]).select("pos", "rank", "first", "n")
+    rounds = [level(named, 1, width)]
     while True:
-        here = rounds[-1].select("pos", "rank")
-        there = here.select((F.col("pos") - (1 << (len(rounds) - 1))).alias("pos"), F.col("rank").alias("next"))
-        pairs = common.checkpointed(here.join(there, "pos").select("pos", F.col("rank").alias("half"), "next"))
-        longer = ranked(pairs, "half", "next")
+        whole = rounds[-1].filter(F.size("names") == TUPLE).select("pos", "names")
+        longer = ranked(whole, "names")
         if longer.isEmpty():
             return rounds
-        rounds.append(common.checkpointed(pairs.join(longer, ["half", "next"]).select("pos", "rank", "first")))
+        rounds.append(level(whole.join(longer, "names").select("pos", "rank", "first"), TUPLE ** len(rounds), width))
 
 
 def longest(rounds: list[DataFrame]) -> DataFrame:
@@ -110,28 +119,31 @@ def longest(rounds: list[DataFrame]) -> DataFrame:
     A row of state is a place of an interval (len, interval); those that don't seek only stand for the earlier places.
     Each interval has one of these at most, so there are at most two rows for a place.
     """
-    state, step = None, 0
+    state = None
     for k in reversed(range(len(rounds))):
         inside = rounds[k].filter("pos > first").select("pos", "rank", "first")
         if k + 1 < len(rounds):
             further = rounds[k + 1].select("pos", F.col("first").alias("later"))
             inside = inside.join(further, "pos", "left").filter("later is null or later = pos")
-        size = F.lit(1 << k).cast("long").alias("len")
-        seeking = inside.select("pos", size, F.col("rank").alias("interval"), F.lit(True).alias("seeks"))
-        standing = inside.select(F.col("first").alias("pos"), size, F.col("rank").alias("interval"), F.lit(False).alias("seeks")).distinct()
+        size = TUPLE**k
+        length = F.lit(size).cast("long").alias("len")
+        seeking = inside.select("pos", length, F.col("rank").alias("interval"), F.lit(True).alias("seeks"))
+        standing = inside.select(F.col("first").alias("pos"), length, F.col("rank").alias("interval"), F.lit(False).alias("seeks")).distinct()
         entering = seeking.unionAll(standing)
         state = entering if state is None else state.unionAll(entering)
-        if not k:
-            break
-        step = 1 << (k - 1)
-        there = rounds[k - 1].select(F.col("pos").alias("on"), F.col("rank").alias("next"))
+
+        there = rounds[k].select(F.col("pos").alias("on"), F.slice("names", 1, TUPLE - 1).alias("names"))
         state = common.checkpointed(state.withColumn("on", F.col("pos") + F.col("len")).join(there, "on", "left").drop("on"))
-        parts = ranked(state.filter("next is not null"), "len", "interval", "next", ordered=False)
-        moved = F.coalesce(F.col("pos") > F.col("first"), F.lit(False))
-        after = state.join(parts, ["len", "interval", "next"], "left").select("pos", F.when(moved, F.col("len") + step).otherwise(F.col("len")).alias("len"), F.when(moved, F.col("rank")).otherwise(F.col("interval")).alias("interval"), "seeks")
-        stays = parts.select(F.col("first").alias("pos"), F.col("len") + step, F.col("rank").alias("interval"), F.lit(False).alias("seeks"))
-        # Dealt anew, as a union has the partitions of both sides, round after round.
-        state = common.checkpointed(after.unionAll(stays).repartition("pos"))
+        longer = state.filter("names is not null").select("pos", "len", "interval", F.explode(F.transform(F.sequence(F.lit(1), F.size("names")), lambda m: F.slice("names", 1, m))).alias("part"))  # noqa: B023
+        parts = ranked(longer, "len", "interval", "part", ordered=False)
+        step = (F.size("part") * size).alias("step")
+        held = longer.join(parts, ["len", "interval", "part"]).filter("pos > first").select("pos", "len", "interval", step, "rank", "first")
+        # Of the parts that a place isn't the first of, the one with the longest prefix.
+        moved = common.checkpointed(held.groupBy("pos", "len", "interval").agg(F.max("step").alias("step"), F.max_by("rank", "step").alias("rank"), F.max_by("first", "step").alias("first")))
+        to = (F.col("len") + F.coalesce("step", F.lit(0))).alias("len")
+        after = state.join(moved, ["pos", "len", "interval"], "left").select("pos", to, F.coalesce("rank", "interval").alias("interval"), "seeks")
+        stays = moved.select(F.col("first").alias("pos"), to, F.col("rank").alias("interval"), F.lit(False).alias("seeks")).distinct()
+        state = after.unionAll(stays)
     return state.filter("seeks").select("pos", "len")
 
 
@@ -152,7 +164,7 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFram
     # Lines have places in one row of all documents; between two documents there's a place without a line.
     width = 1 + (texts.agg(F.max(F.size("lines"))).first()[0] or 0)
     places = texts.select("number", F.posexplode("lines").alias("at", "line")).select((F.col("number") * width + F.col("at")).alias("pos"), "line.a", "line.b", F.col("line.n").cast("long").alias("n"))
-    rounds = intervals(places)
+    rounds = intervals(places, width)
     runs = longest(rounds).groupBy((F.col("pos") + F.col("len")).alias("end")).agg(F.min("pos").alias("pos"))
 
     number = F.expr(f"pos div {width}")
