@@ -7,7 +7,8 @@ and the spans they find are mapped back.  A span found so counts as added if a r
 span of its kind that the plain text shows overlaps it.
 
 Defined results: a null or empty text has no spans; repeated rows are searched each for itself; a text of any length is
-searched whole, in time linear in its length; other columns aren't read, so their names can't clash.
+searched whole, in time linear in its length; spans of one kind that begin alike are listed by their ends; an empty table gives
+no rows; other columns aren't read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -83,7 +84,8 @@ LOOK_ALIKE = re.compile("[" + "".join(map(re.escape, LOOK_ALIKES)) + "]")
 DIGITS = {w: str(n) for n, w in enumerate("zero one two three four five six seven eight nine".split())} | {"oh": "0"}
 SIGNS = {"plus": "+", "dash": "-", "hyphen": "-", "dot": ".", "point": "."}
 _DIGIT = r"(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)"
-_GAP = r"[ \t]*[ \t,-][ \t]*"
+#: Blanks and a mark at most; it matches in one way only, so that long rows of blanks are read once.
+_GAP = r"(?:[ \t]++(?:[,-][ \t]*+)?|[,-][ \t]*+)"
 SPELLED = re.compile(rf"(?i)\b(?:plus{_GAP})?{_DIGIT}(?:(?:{_GAP}(?:dash|hyphen|dot|point))?{_GAP}(?:{_DIGIT}\b|[0-9](?![0-9A-Za-z]))){{2,}}")
 SPELLED_WORD = re.compile(r"(?i)zero|oh|one|two|three|four|five|six|seven|eight|nine|plus|dash|hyphen|dot|point|[0-9]")
 #: A letter that stands for a digit between digits.
@@ -91,15 +93,17 @@ DIGIT_LETTER = re.compile(r"(?<=[0-9])[OoIl|](?=[0-9])")
 
 _AT_SIGN = r"[ \t]*(?:\[[ \t]*(?:at|@)[ \t]*\]|\([ \t]*(?:at|@)[ \t]*\)|\{[ \t]*(?:at|@)[ \t]*\}|<[ \t]*(?:at|@)[ \t]*>|(?<=[ \t])at(?=[ \t])|@)[ \t]*"
 _DOT_SIGN = r"[ \t]*(?:\[[ \t]*(?:dot|\.)[ \t]*\]|\([ \t]*(?:dot|\.)[ \t]*\)|\{[ \t]*(?:dot|\.)[ \t]*\}|<[ \t]*(?:dot|\.)[ \t]*>|(?<=[ \t])dot(?=[ \t]))[ \t]*"
-_LABEL = r"[A-Za-z0-9-]{1,63}+"
+_LABEL = r"[A-Za-z0-9-]++"
 _OF_LOCAL = "A-Za-z0-9._%+-"
 #: From the at sign on; the local part before it is found by LOCAL, so that a long row of dots is read once only.
 DISGUISED = re.compile(rf"(?i)(?<=[{_OF_LOCAL}])(?P<at>{_AT_SIGN}){_LABEL}(?:(?:{_DOT_SIGN}|\.){_LABEL})++")
-LOCAL = re.compile(rf"(?i)(?<![{_OF_LOCAL}])[{_OF_LOCAL}]{{1,64}}+(?:{_DOT_SIGN}[{_OF_LOCAL}]{{1,64}}+(?![{_OF_LOCAL}]))*+")
+LOCAL = re.compile(rf"(?i)(?<![{_OF_LOCAL}])[{_OF_LOCAL}]++(?:{_DOT_SIGN}[{_OF_LOCAL}]++)*+")
 DOT_SIGN, ENDING = re.compile(rf"(?i){_DOT_SIGN}"), re.compile(r"[a-z]{2,}")
-#: Where the at sign is a plain word, the last label must be one of these endings (fixed values); if a dot is a plain word too, any
-#: of two letters or more, unless what follows the at is a determiner ("look at the dot matrix").
-ENDINGS = frozenset("com org net edu gov mil int info biz io ai co me app dev eu us uk de fr es it nl ch at be se no dk fi pl pt ru ua cn jp kr in br au ca mx za".split())
+#: Where the at sign is a plain word and the dots are signs, the last label must be of two small letters, as all countries' endings
+#: are, or one of these (fixed values), so that a sentence that ends without a blank behind it ("at noon.Then") is no address; if a dot
+#: is a plain word too, any of two letters or more, unless what follows the at is a determiner ("look at the dot matrix").
+ENDINGS = frozenset("com org net edu gov mil int info biz app dev online shop site tech xyz name pro museum".split())
+COUNTRY = re.compile(r"[a-z]{2}")
 DETERMINERS = frozenset("a an the this that these those each every any some no my your his her its our their".split())
 
 
@@ -166,8 +170,10 @@ def disguised() -> Callable[[re.Match], list[tuple[int, int, str]]]:
             return []
         before, after = ([(x.start(), x.end(), ".") for x in DOT_SIGN.finditer(text, *span)] for span in ((start, a), (b, m.end())))
         if m["at"].strip().lower() == "at" and not re.search(r"[\[({<]", text[start : m.end()]):
-            first, last = (re.split(r"[^a-z0-9-]", text[b : m.end()].lower())[k] for k in (0, -1))
-            if last not in ENDINGS and not ((before or after) and first not in DETERMINERS and ENDING.fullmatch(last)):
+            domain = text[b : m.end()]
+            first, last = (re.split(r"[^a-z0-9-]", domain.lower())[k] for k in (0, -1))
+            plain = last in ENDINGS or COUNTRY.fullmatch(domain[-len(last) :])
+            if not plain and not ((before or after) and first not in DETERMINERS and ENDING.fullmatch(last)):
                 return []
         return before + ([(a, b, "@")] if m["at"] != "@" else []) + after
 
@@ -216,10 +222,10 @@ def find(docs: DataFrame) -> DataFrame:
 
 
 def summary(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of the spans in the plain text by kind, their digest, all spans and the number added by the transducers."""
+    """doc_id, counts of the spans in the plain text by kind, their digest, all spans, the number added by the transducers and that of all."""
     found = find(docs)
     many = lambda c, k: F.when(F.col(c) == "", 0).otherwise(F.size(F.filter(F.split(c, ","), lambda s: s.startswith(f"{k}:")))).cast("long")
-    return found.select("doc_id", *[many("base_spans", k).alias(f"n_{k}") for k in KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans", sum((many("spans", k) - many("base_spans", k) for k in KINDS), F.lit(0)).cast("long").alias("n_added"))
+    return found.select("doc_id", *[many("base_spans", k).alias(f"n_{k}") for k in KINDS], F.sha2("base_spans", 256).alias("base_sha256"), "spans", sum((many("spans", k) - many("base_spans", k) for k in KINDS), F.lit(0)).cast("long").alias("n_added"), sum((many("spans", k) for k in KINDS), F.lit(0)).cast("long").alias("n_found"))
 
 
 def redact(docs: DataFrame) -> DataFrame:
