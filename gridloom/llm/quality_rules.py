@@ -2,19 +2,22 @@
 
 Each rule votes good (1), votes bad (-1) or abstains (0) on a document.  The documents are counted by their pattern of
 votes - at most 3 to the power of the number of rules, whatever the corpus size - and expectation-maximisation over
-these counts estimates, for each class, how often each rule votes bad.  A document is kept if the posterior
-probability of the good class is at least one half and no base rule fails.
+these counts estimates, for each class, how often each rule votes bad, good or not at all, so how accurate it is; rules that
+tell the same share their weight.  A document is kept if the posterior probability of the good class is at least one half and no
+base rule fails: a bad vote of a rule that is little corroborated is outvoted by the others.
 
 Defined results: a null text counts as empty; a text without words has zero in every count, fails the base rules and
-isn't kept; repeated rows count as often as they occur; an empty table gives no rows; other columns aren't read, so
+isn't kept; repeated rows count as often as they occur; a document whose classes are equally likely is kept; a table gives the
+same estimates in any order of its rows; an empty table gives no rows; other columns aren't read, so
 their names can't clash.  A text is one row in one task, whatever its length, and no stage groups texts by a key.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,10 +27,11 @@ WINDOW = 8
 MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
 #: Rounds of expectation-maximisation at most, and the change of the class share at which it ends.
 ROUNDS, SETTLED = 200, 1e-9
-#: Share of the good documents on which a rule's bad vote is wrong, at most.
-FALSE_ALARMS = 0.005
-#: A document that no rule finds bad is good with this probability at least.
-UNCHALLENGED = 0.95
+#: What is expected of any rule before the corpus is seen: the chances of the votes -1, 0, 1 on bad and on good documents, and the share
+#: of good documents; and how much that counts beside what the corpus shows: rules are made so that false alarms are rare, while little
+#: is known of how much of what is bad each finds.
+EXPECTED, EXPECTED_SHARE = np.array([[0.30, 0.10, 0.60], [0.002, 0.03, 0.968]]), 0.9
+TRUST, TRUST_SHARE = (0.5, 0.9), 0.1
 
 
 def repeated_words(windows: Column) -> Column:
@@ -92,50 +96,82 @@ def rules() -> dict[str, Column]:
     }
 
 
-def fitted(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> tuple[float, list[dict[int, float]]]:
-    """Expectation-maximisation for two classes under which the rules' votes are independent.
+@dataclass
+class Fit:
+    """What expectation-maximisation found: the share of good documents; by class (bad, good) and rule the chances of the votes -1, 0, 1;
+    how many times each rule's evidence is told; the log odds of the good class and, for each rule and vote, what the vote adds to them."""
 
-    patterns: (votes, number of documents).  For each rule it estimates how often, where it votes, it votes bad in either
-    class; an abstention says nothing.  What is known of the rules bounds the estimates: a bad vote is wrong on at most
-    FALSE_ALARMS of the good documents, and is never rarer among bad ones; what no rule finds bad is good with a probability
-    of UNCHALLENGED at least.  A document that any rule finds bad starts as likely bad.  Returns the log odds of the good class and, for each rule and vote, what that vote adds to them.
+    share: float
+    chances: np.ndarray
+    told: np.ndarray
+    base: float
+    weights: list[dict[int, float]]
+
+    def accuracies(self) -> list[float]:
+        """Of each rule, the share of its votes, good or bad, that are right."""
+        prior = np.array([1 - self.share, self.share])
+        right = prior[0] * self.chances[0, :, 0] + prior[1] * self.chances[1, :, 2]
+        return (right / (prior[:, None] * (self.chances[:, :, 0] + self.chances[:, :, 2])).sum(axis=0)).tolist()
+
+
+def fitted(patterns: list[tuple[tuple[int, ...], int]], n_rules: int) -> Fit:
+    """Expectation-maximisation for two classes, within which each rule votes bad, good or not at all by chances of its own.
+
+    patterns: (votes, number of documents).  The chances estimated from the counts are averaged with what is expected of any
+    rule (EXPECTED, by TRUST), whatever the size of the corpus: without that, rules that tell the same would be taken for the
+    classes.  Rules that vote bad together within a class tell the same thing: a rule's evidence is divided by one plus the sum of its
+    positive correlations with the others, in both steps.  A document that a rule finds bad starts as likely bad.
     """
-    weights = [dict.fromkeys((-1, 0, 1), 0.0) for _ in range(n_rules)]
-    total = sum(n for _, n in patterns)
-    if not total:
-        return 0.0, weights
-    good, share = [0.1 if -1 in votes else UNCHALLENGED for votes, _ in patterns], 0.5
+    if not patterns:
+        return Fit(EXPECTED_SHARE, np.repeat(EXPECTED[:, None], n_rules, axis=1), np.ones(n_rules), 0.0, [dict.fromkeys((-1, 0, 1), 0.0) for _ in range(n_rules)])
+    votes = np.array([v for v, _ in patterns]).reshape(len(patterns), n_rules)
+    n = np.array([k for _, k in patterns], float)
+    cast = np.stack([votes == v for v in (-1, 0, 1)], axis=2).astype(float)
+    good = np.where((votes == -1).any(axis=1), 0.1, 0.95)
+    trust = np.array(TRUST)[:, None, None]
+    share = -1.0
     for _ in range(ROUNDS):
-        old, share = share, min(max(sum(n * p for (_, n), p in zip(patterns, good, strict=True)) / total, 1e-4), 1 - 1e-4)
-        for j in range(n_rules):
-            bad_votes, votes_cast = [0.0, 0.0], [1.0, 1.0]
-            for (votes, n), p in zip(patterns, good, strict=True):
-                for k, mass in ((0, n * (1 - p)), (1, n * p)):
-                    votes_cast[k] += mass * (votes[j] != 0)
-                    bad_votes[k] += mass * (votes[j] == -1)
-            wrong = min(max(bad_votes[1] / votes_cast[1], 1e-4), FALSE_ALARMS)
-            right = min(max(bad_votes[0] / votes_cast[0], wrong), 0.99)
-            weights[j] = {-1: math.log(wrong / right), 0: 0.0, 1: math.log((1 - wrong) / (1 - right))}
-        base = math.log(share) - math.log(1 - share)
-        good = [1 / (1 + math.exp(-max(-700.0, min(700.0, base + sum(w[v] for w, v in zip(weights, votes, strict=True)))))) for votes, _ in patterns]
-        good = [p if -1 in votes else max(p, UNCHALLENGED) for (votes, _), p in zip(patterns, good, strict=True)]
+        old, share = share, TRUST_SHARE * EXPECTED_SHARE + (1 - TRUST_SHARE) * float((n * good).sum() / n.sum())
+        mass = np.stack([n * (1 - good), n * good])
+        total = mass.sum(axis=1)
+        own = np.einsum("cp,pjv->cjv", mass, cast) / np.maximum(total, 1e-9)[:, None, None]
+        # A class without documents has what is expected of it.
+        chances = np.where(total[:, None, None] > 0, trust * EXPECTED[:, None] + (1 - trust) * own, EXPECTED[:, None])
+        apart = cast[None, :, :, 0] - own[:, None, :, 0]
+        shared = np.einsum("cp,cpj,cpk->jk", mass, apart, apart)
+        spread = np.sqrt(np.maximum(np.diag(shared), 1e-9))
+        alike = np.clip(shared / np.outer(spread, spread), 0, 1)
+        told = 1 + alike.sum(axis=1) - np.diag(alike)
+        evidence = np.log(chances[1] / chances[0]) / told[:, None]
+        base = math.log(share / (1 - share))
+        odds = base + np.einsum("pjv,jv->p", cast, evidence)
+        good = 1 / (1 + np.exp(-np.clip(odds, -700, 700)))
         if abs(share - old) < SETTLED:
             break
-    return math.log(share) - math.log(1 - share), weights
+    return Fit(share, chances, told, base, [dict(zip((-1, 0, 1), map(float, row), strict=True)) for row in evidence])
+
+
+def fit(counted: DataFrame) -> Fit:
+    """The estimates from the votes on the counts of signals(); the vote patterns are gathered, 3 to the power of the rules at most."""
+    votes = rules()
+    by_votes = counted.select(*[v.cast("int").alias(k) for k, v in votes.items()])
+    return fitted(sorted((tuple(r[k] for k in votes), r["count"]) for r in by_votes.groupBy(*votes).count().collect()), len(votes))
+
+
+def report(docs: DataFrame) -> DataFrame:
+    """rule, accuracy, its chances of a bad vote on a good and on a bad document, and how many times its evidence is told."""
+    found = fit(signals(docs))
+    rows = list(zip(rules(), found.accuracies(), found.chances[1, :, 0].tolist(), found.chances[0, :, 0].tolist(), found.told.tolist(), strict=True))
+    return docs.sparkSession.createDataFrame(rows, "rule string, accuracy double, bad_if_good double, bad_if_bad double, told double")
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """doc_id, the base counts, base_failed, posterior and kept of every document."""
-    votes = rules()
     counted = common.checkpointed(signals(docs))
-    by_votes = counted.select(*[v.cast("int").alias(k) for k, v in votes.items()])
-    patterns = sorted((tuple(r[k] for k in votes), r["count"]) for r in by_votes.groupBy(*votes).count().collect())
-    base, weights = fitted(patterns, len(votes))
-    odds = F.lit(base)
-    for v, w in zip(votes.values(), weights, strict=True):
+    found = fit(counted)
+    odds = F.lit(found.base)
+    for v, w in zip(rules().values(), found.weights, strict=True):
         odds = odds + F.when(v == 1, w[1]).when(v == -1, w[-1]).otherwise(w[0])
-    unchallenged = reduce(lambda a, b: a & b, [v != -1 for v in votes.values()])
-    odds = F.when(unchallenged, F.greatest(odds, F.lit(math.log(UNCHALLENGED / (1 - UNCHALLENGED))))).otherwise(odds)
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     return counted.select(
         *["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"],
