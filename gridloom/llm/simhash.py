@@ -257,19 +257,21 @@ def summary(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """docs with one document of each group: the one of the smallest doc_id, null last, then of the least digest of its text.
+    """docs with one row of each group: the one of the smallest doc_id, null last, then of the least digest of its text.
 
-    Of rows that share a doc_id only the one of the least digest counts; null isn't shared, so each group of rows without ids keeps one.
+    Rows are told apart by doc_id and text, so that rows of different groups that share a doc_id, or have none, each stay for their
+    group.  Of rows equal in both, the one whose further columns are least, written as JSON, stays.
     """
     prints = common.checkpointed(fingerprints(docs, digest=True))
-    # Rows of one doc_id and digest have one text, so they're in one group.
     texts = prints.groupBy("doc_id", "digest", "fp").agg(F.count(F.lit(1)).alias("n"))
-    own = texts.groupBy("doc_id", F.when(F.col("doc_id").isNull(), F.col("digest")).alias("nameless")).agg(F.min(F.struct("digest", "fp", "n")).alias("of"))
-    rows = own.select("doc_id", "of.*").join(by_print(prints), "fp")
+    rows = texts.join(by_print(prints), "fp")
     least = rows.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "digest", "n")).alias("of"))
     kept = common.checkpointed(least.select(F.col("of.doc_id").alias("__id"), F.col("of.digest").alias("__kept"), F.col("of.n").alias("__copies")))
-    out = docs.withColumn("__digest", digest_of(F.col("text"))).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept"))).drop("__id", "__kept")
-    several = out.filter("__copies > 1").drop("__copies")
+    own = docs.withColumn("__digest", digest_of(F.col("text"))).join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__digest") == F.col("__kept")))
+    several = own.filter("__copies > 1")
     if several.isEmpty():
-        return out.drop("__copies", "__digest")
-    return out.filter("__copies = 1").drop("__copies").unionByName(several.dropDuplicates(["doc_id", "__digest"])).drop("__digest")
+        return own.select(*[f"`{c}`" for c in docs.columns])
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    more = F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]))
+    one = several.groupBy("__id", "__digest").agg(F.min_by(row, more).alias("row")).select("row.*")
+    return own.filter("__copies = 1").select(*[f"`{c}`" for c in docs.columns]).unionByName(one)
