@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from gridloom.ship import ship
 #: Rows of one Arrow batch that goes to Python: whole texts are long, so few of them.
 BATCH_ROWS = 1000
 
-__all__ = ["by_batch", "checkpointed", "ready_for_python", "table", "words"]
+__all__ = ["by_batch", "checkpointed", "give_back", "ready_for_python", "table", "words"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,11 +35,22 @@ def by_batch(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch]
         for batch in batches:
             if batch.num_rows:
                 yield function(batch)
+        del batches
+        give_back()
 
     ready_for_python(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: workers outlive their tasks, and what they hold is missing in the stages that follow."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def words(text: Column) -> Column:
     """The words of a text: maximal runs of what is neither a space nor one of the characters 9 to 13."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), "[ \\t-\\r]+"), lambda w: w != "")

@@ -190,6 +190,8 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = total.astype(np.int64).reshape(ROWS, SIZE)
     used = np.flatnonzero(sums.any(axis=1))
     yield pa.record_batch([pa.array(used), *[pa.array(sums[used, i]) for i in range(SIZE)]], ["row", *[f"d{i}" for i in range(SIZE)]])
+    _rows.clear()
+    common.give_back()
 
 
 def held_out(doc_id: F.Column) -> F.Column:
@@ -204,7 +206,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = known.groupBy("doc_id").agg(F.min("quality").alias("quality")).withColumn("rank", F.xxhash64("doc_id")).orderBy("rank", "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # The sample is bounded, so it's broadcast; its texts are few, so a few tasks pool them.
-    rows = common.checkpointed(texts.join(F.broadcast(chosen), "doc_id").repartition(8, "rank"))
+    # Of a doc_id with several texts the one of the least hash is taken, so that the bound holds for rows too.
+    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("rank", "doc_id", "quality").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = common.checkpointed(rows.repartition(8, "rank"))
     names = [f"d{i}" for i in range(SIZE)]
     sums = texts.select("text").mapInArrow(contexts, "row long, " + ", ".join(f"{n} long" for n in names)).groupBy("row").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     vectors = index_vectors().astype(np.float32)
@@ -239,6 +243,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 yield run(batch)
+        _rows.clear()
+        common.give_back()
 
     return plain.mapInArrow(each, docs.withColumn(SCORE, F.lit(0.0)).schema)
 

@@ -90,22 +90,24 @@ def test_pigeonhole_thresholds_cover():
             assert any(not m & flips for m in masks)
 
 
-def test_simhash_representatives(odd):
+def test_simhash_representatives(odd, odd_rows):
     kept = simhash.representatives(odd)
     assert kept.columns == odd.columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert len([i for i in ids if i is not None]) == len({i for i in ids if i is not None})
-    assert 60 in ids and 61 not in ids and 4 in ids
+    prints = {t: plain_fingerprint(t or "") for _, t, *_ in odd_rows}
+    root = plain_components(prints.values())
+    rows = kept.collect()
+    assert len(rows) == len(set(root.values())) and {root[prints[x.text]] for x in rows} == set(root.values())
+    ids = [x.doc_id for x in rows]
+    assert 60 in ids and 61 not in ids and ids.count(5) == 2
 
 
 def test_simhash_representatives_of_null_and_shared_ids(spark):
     texts = [" ".join(f"{k}{i}" for i in range(40)) for k in "abcd"]
     rows = [(None, texts[0]), (None, texts[1]), (None, texts[1]), (3, texts[2]), (5, texts[2]), (5, texts[3]), (None, texts[2]), (None, None), (None, "")]
-    kept = simhash.representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    found = [(r.doc_id, r.text or "") for r in kept if r.doc_id != 5]
-    assert sorted(found, key=str) == sorted([(None, texts[0]), (None, texts[1]), (3, texts[2]), (None, "")], key=str)
-    least = min(texts[2:], key=lambda t: hashlib.md5(t.encode()).hexdigest())
-    assert [r.text for r in kept if r.doc_id == 5] == [texts[3]] * (least == texts[3])
+    kept = simhash.representatives(spark.createDataFrame([(*x, k) for k, x in enumerate(rows)], "doc_id long, text string, `a.b` int")).collect()
+    assert len(kept) == 5 and (None, texts[1], 1) in [tuple(x) for x in kept]
+    found = [(x.doc_id, x.text or "") for x in kept]
+    assert sorted(found, key=str) == sorted([(None, texts[0]), (None, texts[1]), (3, texts[2]), (5, texts[3]), (None, "")], key=str)
 
 
 def plain_line_dedup(rows, least):

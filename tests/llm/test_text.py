@@ -1,8 +1,10 @@
 """Operators on single texts, against the tokenizers library and plain versions."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -104,6 +106,8 @@ def test_plain_identifiers():
         ("card four one one one one one one one one one one one one one one one end", 2, "four one one one one one one one one one one one one one one one"),
         ("ip one nine two dot one six eight dot one dot seven", 1, "one nine two dot one six eight dot one dot seven"),
         ("+1 (4l5) 555-0134", 3, "+1 (4l5) 555-0134"),
+        ("write john at firma.cz or call", 0, "john at firma.cz"),
+        ("x" * 80 + " at " + "y" * 80 + ".com", 0, "x" * 80 + " at " + "y" * 80 + ".com"),
     ],
 )
 def test_disguised_identifiers(text, kind, found):
@@ -116,6 +120,53 @@ def test_disguises_in_long_rows():
     assert pii.added(row, pii.detect(row))[0] == [(0, 6 * 50_000 + len("b at example.com"))]
 
 
+@pytest.mark.parametrize("text", ["one" + " " * 100_000 + "dash" + " " * 100_000 + "x", "one" + " " * 100_000, ("one" + " " * 300) * 300, "a" + " " * 100_000 + "at" + " " * 100_000 + "b", "plus " * 50_000])
+def test_blanks_are_read_in_linear_time(text):
+    began = time.process_time()
+    assert not any(pii.added(text, pii.detect(text)))
+    assert time.process_time() - began < 1
+
+
+def plain_look_alikes(text):
+    """Spans of the text with look-alikes put in place one by one, mapped back; without those that the plain text shows."""
+    kept = [(c, i) for i, own in enumerate(text) for c in pii.LOOK_ALIKES.get(own, own)]
+    changed = [pii.LOOK_ALIKES.get(own, own) != own for own in text]
+    out = []
+    for plain, spans in zip(plain_spans(text), plain_spans("".join(c for c, _ in kept)), strict=True):
+        mapped = [(kept[a][1], kept[b - 1][1] + 1, {i for _, i in kept[a:b]}) for a, b in spans]
+        out.append([(a, b) for a, b, own in mapped if any(changed[i] for i in own) and not any(a < y and x < b for x, y in plain)])
+    return out
+
+
+def test_look_alikes_equal_a_plain_version():
+    r = random.Random(15)
+    signs = "аеＡ＠．１２＋‐\u200b"  # no blanks and no o, as those are disguises of another kind, too
+    for _ in range(3_000):
+        text = "".join(r.choice("ab.@-+0123456789é\n" + signs) for _ in range(r.randint(0, 50)))
+        assert pii.added(text, pii.detect(text)) == plain_look_alikes(text)
+
+
+def test_recall_of_planted_disguises():
+    """Identifiers in eight disguises, in texts of ordinary words; nothing is found in the words alone."""
+    r = random.Random(14)
+    vocab = "we met at noon and looked at the garden dot then one of them went on to point out two more plans for a week".split()
+    numbers = "zero one two three four five six seven eight nine".split()
+    spell = lambda s: " ".join({"+": "plus", ".": "dot"}.get(c) or numbers[int(c)] for c in s)
+    name = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
+    looks = {"a": "а", "e": "е", "c": "с", "i": "і", "h": "һ"}
+    caught = clean = 0
+    for k in range(800):
+        user, host, end = name(6), name(7), r.choice(["com", "org", "cz", "io"])
+        phone, ip = "+1" + "".join(r.choice("0123456789") for _ in range(10)), ".".join(str(r.randint(1, 255)) for _ in range(4))
+        planted = [f"{user} [at] {host} [dot] {end}", f"{user} at {host} dot {end}", f"{user}(at){host}.{end}", f"{user} at {host}.{end}", "".join(looks.get(c, c) for c in f"a{user}@{host}.{end}"), "".join(chr(ord(c) + 0xFEE0) for c in f"{user}@{host}.{end}"), spell(phone), spell(ip)][k % 8]
+        before, after = (" ".join(r.choice(vocab[:5] if k % 2 else vocab) for _ in range(r.randint(1, 30))) for _ in range(2))
+        text = f"{before}, {planted}. {after}"
+        at = text.index(planted)
+        caught += any(a < at + len(planted) and at < b for own in pii.added(text, pii.detect(text)) for a, b in own)
+        clean += not any(map(any, (pii.added(t, pii.detect(t)) for t in (before, after))))
+    assert caught >= 0.9 * 800 and clean >= 0.98 * 800
+
+
 def test_disguises_do_not_depend_on_other_lines():
     r = random.Random(4)
     parts = ["ann", "at", "At", "dot", "[dot]", "(at)", "@", ".", "b.com", "example.org", "one", "two", "point", "plus", "4l5", "-", "\t", "é"]
@@ -171,15 +222,58 @@ def test_rule_repeats(spark):
     assert [got[i] for i in range(200)] == [plain_counts(t)[4] for t in texts]
 
 
+def odds_of(found, votes):
+    return found.base + sum(w[v] for w, v in zip(found.weights, votes, strict=True))
+
+
 def test_expectation_maximisation_finds_the_bad_class():
-    patterns = [((1, 1, 1), 900), ((-1, 1, 1), 40), ((1, -1, 1), 40), ((1, 1, 0), 20)]
-    base, weights = quality_rules.fitted(patterns, 3)
-    odds = [base + sum(w[v] for w, v in zip(weights, votes, strict=True)) for votes, _ in patterns]
-    assert min(odds[0], odds[3]) > 0 > max(odds[1:3])
-    mostly_bad = [((1, 1, 1), 100), ((-1, 1, 1), 500), ((1, -1, 1), 400)]
-    base, weights = quality_rules.fitted(mostly_bad, 3)
-    assert all(base + sum(w[v] for w, v in zip(weights, votes, strict=True)) < 0 for votes, _ in mostly_bad[1:])
-    assert quality_rules.fitted([], 3)[0] == 0.0
+    patterns = [((1, 1, 1), 900), ((-1, -1, 1), 40), ((-1, 1, 1), 30), ((1, -1, 1), 30), ((1, 1, 0), 20)]
+    found = quality_rules.fitted(patterns, 3)
+    assert min(odds_of(found, v) for v in ((1, 1, 1), (1, 1, 0))) > 0 > odds_of(found, (-1, -1, 1))
+    assert quality_rules.fitted([], 3).base == 0.0
+    assert 0.05 < 1 - found.share < 0.2 and min(found.accuracies()) > 0.5
+
+
+def test_a_little_corroborated_bad_vote_is_outvoted():
+    patterns = [((1, 1, 1, 1, 1), 900), ((-1, 1, 1, 1, 1), 90), ((1, -1, -1, 1, 1), 20), ((1, 1, 1, -1, -1), 20)]
+    found = quality_rules.fitted(patterns, 5)
+    assert odds_of(found, (-1, 1, 1, 1, 1)) < 0 < odds_of(found, (1, 1, 1, -1, 1))
+    assert found.told[3] > 1.5 and found.told[0] < 1.2
+
+
+def test_expectation_maximisation_document_by_document():
+    """The estimates from counts of patterns are those of a plain version that goes through all documents."""
+    r = random.Random(12)
+    docs = [tuple(r.choice((1, 1, 1, 0, -1)) if r.random() < 0.3 else 1 for _ in range(4)) for _ in range(300)] + [(-1, -1, 1, 0)] * 60
+    found = quality_rules.fitted(sorted(Counter(docs).items()), 4)
+    votes, good, trust = (-1, 0, 1), [0.1 if -1 in d else 0.95 for d in docs], quality_rules.TRUST
+    for _ in range(quality_rules.ROUNDS):
+        share = quality_rules.TRUST_SHARE * quality_rules.EXPECTED_SHARE + (1 - quality_rules.TRUST_SHARE) * sum(good) / len(good)
+        mass = [[1 - g for g in good], good]
+        own = [[[sum(m for m, d in zip(mass[c], docs, strict=True) if d[j] == v) / sum(mass[c]) for v in votes] for j in range(4)] for c in (0, 1)]
+        chances = [[[trust[c] * quality_rules.EXPECTED[c][k] + (1 - trust[c]) * own[c][j][k] for k in range(3)] for j in range(4)] for c in (0, 1)]
+        cov = lambda j, k: sum(m * ((d[j] == -1) - own[c][j][0]) * ((d[k] == -1) - own[c][k][0]) for c in (0, 1) for m, d in zip(mass[c], docs, strict=True))  # noqa: B023, E731
+        told = [1 + sum(max(0.0, cov(j, k) / (cov(j, j) * cov(k, k)) ** 0.5) for k in range(4) if k != j) for j in range(4)]
+        odds = [math.log(share / (1 - share)) + sum(math.log(chances[1][j][d[j] + 1] / chances[0][j][d[j] + 1]) / told[j] for j in range(4)) for d in docs]
+        new = [1 / (1 + math.exp(-o)) for o in odds]
+        good, settled = new, max(abs(a - b) for a, b in zip(new, good, strict=True)) < 1e-9
+        if settled:
+            break
+    assert max(abs(odds_of(found, d) - o) for d, o in zip(docs, odds, strict=True)) < 1e-3
+
+
+def test_verdict_is_not_all_must_pass(spark):
+    """A document in capitals, which one rule finds bad, is kept; one full of signs isn't."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    r = random.Random(13)
+    vocab = ["reading", "the", "terms", "of", "use", "before", "this", "permit", "holds", "under", "law"]
+    prose = "\n".join(" ".join(r.choice(vocab) for _ in range(12)) for _ in range(8))
+    new = spark.createDataFrame([(-1, prose.upper()), (-2, prose), (-3, " ".join(w + "#*$" for w in prose.split()))], "doc_id long, text string")
+    votes = {x.doc_id: x.few_capitals for x in quality_rules.signals(new).select("doc_id", quality_rules.rules()["few_capitals"].alias("few_capitals")).collect()}
+    kept = {x.doc_id: x.kept for x in quality_rules.judged(docs.unionAll(new)).filter("doc_id < 0").collect()}
+    assert votes[-1] == -1 and kept == {-1: True, -2: True, -3: False}
+    report = {x.rule: x for x in quality_rules.report(docs).collect()}
+    assert set(report) == set(quality_rules.rules()) and all(0.5 < x.accuracy <= 1 and x.bad_if_good < x.bad_if_bad for x in report.values())
 
 
 def test_avi_round_trip_and_shots():
