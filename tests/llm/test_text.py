@@ -149,7 +149,7 @@ def test_look_alikes_equal_a_plain_version():
 def test_recall_of_planted_disguises():
     """Identifiers in eight disguises, in texts of ordinary words; nothing is found in the words alone."""
     r = random.Random(14)
-    vocab = "we met at noon and looked at the garden dot then one of them went on to point out two more plans for a week".split()
+    vocab = "we met at noon and looked at the garden door then one of them went on to point out two more plans for a week".split()
     numbers = "zero one two three four five six seven eight nine".split()
     spell = lambda s: " ".join({"+": "plus", ".": "dot"}.get(c) or numbers[int(c)] for c in s)
     name = lambda n: "".join(r.choice("abcdefghij") for _ in range(n))
