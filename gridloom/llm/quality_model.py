@@ -190,7 +190,6 @@ def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums = total.astype(np.int64).reshape(ROWS, SIZE)
     used = np.flatnonzero(sums.any(axis=1))
     yield pa.record_batch([pa.array(used), *[pa.array(sums[used, i]) for i in range(SIZE)]], ["row", *[f"d{i}" for i in range(SIZE)]])
-    _rows.clear()
     common.give_back()
 
 
@@ -243,7 +242,6 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 yield run(batch)
-        _rows.clear()
         common.give_back()
 
     return plain.mapInArrow(each, docs.withColumn(SCORE, F.lit(0.0)).schema)
