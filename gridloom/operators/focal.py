@@ -43,11 +43,14 @@ def with_size(df: DataFrame) -> DataFrame:
 
 
 def mirrored(df: DataFrame, axis: str, size: str, reach: int) -> DataFrame:
-    """df with reach more cells at either end of an axis: the mirror image, edge included (d c b a | a b c d)."""
+    """df with reach more cells at either end of an axis: the mirror image, edge included (d c b a | a b c d), again and again if the raster is smaller."""
     at, n = F.col(axis), F.col(size)
-    copies = [at, *[F.when(x.between(-reach, -1) | x.between(n, n + reach - 1), x) for x in (-1 - at, 2 * n - 1 - at)]]
+    once = F.array_compact(F.array(at, *[F.when(x.between(-reach, -1) | x.between(n, n + reach - 1), x) for x in (-1 - at, 2 * n - 1 - at)]))
+    periods = F.ceil(F.lit(reach) / (2 * n)).cast("int") + 1
+    again = F.flatten(F.transform(F.sequence(-periods, periods), lambda k: F.array(at + 2 * n * k, 2 * n * k - 1 - at)))
+    copies = F.when(n >= reach, once).otherwise(F.filter(again, lambda x: x.between(-reach, n + reach - 1)))
     other = [c for c in df.columns if c != axis]
-    return df.select(*other, F.explode(F.array_compact(F.array(*copies))).alias(axis))
+    return df.select(*other, F.explode(copies).alias(axis))
 
 
 def box_sums(df: DataFrame, values: dict[str, Column], k: int) -> DataFrame:

@@ -29,20 +29,23 @@ def box_mean(z: np.ndarray, k: int) -> np.ndarray:
     return z
 
 
+def gradient(z: np.ndarray, spacing: float) -> list[np.ndarray]:
+    """Derivatives along rows and columns of cells; zero along an axis of one cell."""
+    return [np.gradient(z, spacing, axis=k) if z.shape[k] > 1 else np.zeros_like(z) for k in (0, 1)]
+
+
 def edge_aware(block: np.ndarray, top: int, left: int, height: int, width: int, at: tuple[int, int, int, int], spacing: float) -> dict[str, np.ndarray]:
     """Features of the cells at (first row, first column, rows, columns) of a raster of height by width, from a block at (top, left)."""
     r0, c0, n_r, n_c = at
 
     def cut(reach: int, mode: str) -> np.ndarray:
-        """The cells with reach more on each side, mirrored beyond the raster."""
+        """The cells with reach more on each side, mirrored beyond the raster, again and again if it's smaller."""
 
         def index(first: int, n: int, size: int) -> np.ndarray:
             i = np.arange(first - reach, first + n + reach)
-            if mode == "symmetric":
-                i = np.where(i < 0, -1 - i, np.where(i >= size, 2 * size - 1 - i, i))
-            else:
-                i = np.where(i < 0, -i, np.where(i >= size, 2 * size - 2 - i, i))
-            return i
+            period = 2 * size if mode == "symmetric" else max(2 * size - 2, 1)
+            i %= period
+            return np.minimum(i, period - 1 - i if mode == "symmetric" else (period - i) % period if size > 1 else i)
 
         return block[np.ix_(index(r0, n_r, height) - top, index(c0, n_c, width) - left)]
 
@@ -57,9 +60,9 @@ def edge_aware(block: np.ndarray, top: int, left: int, height: int, width: int,
     part = block[lo_r - top : hi_r - top, lo_c - left : hi_c - left]
     own = (slice(r0 - lo_r, r0 - lo_r + n_r), slice(c0 - lo_c, c0 - lo_c + n_c))
     # One-sided at the raster's edges; within it, the outermost cells of the part are wrong and lie outside own.
-    zy, zx = np.gradient(part, spacing)
-    zxy, zxx = np.gradient(zx, spacing)
-    zyy = np.gradient(zy, spacing, axis=0)
+    zy, zx = gradient(part, spacing)
+    zxy, zxx = gradient(zx, spacing)
+    zyy = gradient(zy, spacing)[0]
     zx, zy, zxx, zxy, zyy = (x[own] for x in (zx, zy, zxx, zxy, zyy))
     flat = (zx**2 + zy**2 + 1e-10) ** 1.5
     near = cut(1, "reflect")

@@ -98,6 +98,40 @@ def test_tiles_equal_windows(cells, dem):
     assert np.allclose(matrix(found, "tri"), matrix(focal.tri(cells, "z"), "tri"))
 
 
+SIDES = [(h, w) for h in range(1, 13) for w in (1, 2, 3, 7, 12)]
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    """Rasters with sides of 1 to 12 cells, by name, and their cells."""
+    random = np.random.default_rng(3)
+    rasters = {f"{h}x{w}": random.normal(100, 10, (h, w)) for h, w in SIDES}
+    rows = [(name, r, c, float(z[r, c])) for name, z in rasters.items() for r in range(z.shape[0]) for c in range(z.shape[1])]
+    return rasters, spark.createDataFrame(rows, "raster_id string, r int, c int, z double").cache()
+
+
+@pytest.mark.parametrize("k", [3, 5, 9, 11, 21])
+def test_boxes_of_rasters_smaller_than_the_box(small, k):
+    """Mirrored as often as the box needs, as numpy pads."""
+    rasters, df = small
+    got = {(x.raster_id, x.r, x.c): (x["mean"], x["std"]) for x in focal.box_statistics(df, "z", k).collect()}
+    for name, z in rasters.items():
+        boxes = np.lib.stride_tricks.sliding_window_view(np.pad(z, k // 2, mode="symmetric"), (k, k))
+        found = np.array([[got[name, r, c] for c in range(z.shape[1])] for r in range(z.shape[0])])
+        assert np.allclose(found[..., 0], boxes.mean(axis=(2, 3))) and np.allclose(found[..., 1], boxes.std(axis=(2, 3)), atol=1e-5)
+
+
+def test_tiled_features_of_rasters_smaller_than_the_box(small):
+    rasters, df = small
+    got = {(x.raster_id, x.r, x.c): (x.tpi_21x21, x.elev_std_9x9, x.tri) for x in tiled.focal_features(df, "z").collect()}
+    for name, z in rasters.items():
+        box = lambda k: np.lib.stride_tricks.sliding_window_view(np.pad(z, k // 2, mode="symmetric"), (k, k))  # noqa: B023, E731
+        near = np.lib.stride_tricks.sliding_window_view(np.pad(z, 1, mode="reflect"), (3, 3))
+        found = np.array([[got[name, r, c] for c in range(z.shape[1])] for r in range(z.shape[0])])
+        assert np.allclose(found[..., 0], z - box(21).mean(axis=(2, 3))) and np.allclose(found[..., 1], box(9).std(axis=(2, 3)), atol=1e-5)
+        assert np.allclose(found[..., 2], np.abs(near - z[..., None, None]).sum(axis=(2, 3)))
+
+
 def test_interior(spark, gaps):
     k = 5
     ok = np.pad(~np.isnan(gaps), k // 2, constant_values=False)
