@@ -59,14 +59,15 @@ def cubic(d: Column) -> Column:
 def sampled(df: DataFrame, value: str, points: DataFrame, kernel: str = "bilinear") -> DataFrame:
     """points with the interpolated value at (raster_id, fr, fc), fractional rows and columns of cell centres; NULL where no cell is near."""
     reach, weight = {"bilinear": ((0, 1), lambda d: F.greatest(F.lit(0.0), 1 - F.abs(d))), "bicubic": ((-1, 0, 1, 2), cubic)}[kernel]
-    near = points.withColumn("__id", F.xxhash64(*points.columns))
+    # A point is known by all its columns; equal points are put together, counted and taken apart again.
+    near = points.groupBy(*points.columns).agg(F.count(F.lit(1)).alias("__copies"))
     for fraction, at in (("fr", "at_r"), ("fc", "at_c")):
         near = near.withColumn(at, F.explode(F.array(*[(F.floor(fraction) + k).cast("int") for k in reach])))
-    source = df.select(RASTER, F.col(ROW).alias("at_r"), F.col(COL).alias("at_c"), F.col(value).cast("double").alias("v")).filter("v is not null")
-    w = weight(F.col("fr") - F.col("at_r")) * weight(F.col("fc") - F.col("at_c"))
-    sums = near.join(source, [RASTER, "at_r", "at_c"]).withColumn("w", w).groupBy("__id").agg(F.sum(F.col("w") * F.col("v")).alias("s"), F.sum("w").alias("w")).filter("w > 1e-12")
-    out = points.withColumn("__id", F.xxhash64(*points.columns)).join(sums, "__id", "left")
-    return out.select(*points.columns, (F.col("s") / F.col("w")).alias(value))
+    source = df.select(RASTER, F.col(ROW).alias("at_r"), F.col(COL).alias("at_c"), F.col(value).cast("double").alias("__v")).filter("__v is not null")
+    w = F.when(F.col("__v").isNotNull(), weight(F.col("fr") - F.col("at_r")) * weight(F.col("fc") - F.col("at_c")))
+    sums = near.join(source, [RASTER, "at_r", "at_c"], "left").withColumn("__w", w).groupBy(*points.columns, "__copies").agg(F.sum(F.col("__w") * F.col("__v")).alias("__s"), F.sum("__w").alias("__w"))
+    found = F.when(F.col("__w") > 1e-12, F.col("__s") / F.col("__w")).alias(value)
+    return sums.select(*points.columns, found, F.explode(F.array_repeat(F.lit(0), F.col("__copies").cast("int")))).drop("col")
 
 
 def reprojected(df: DataFrame, value: str, source_meta: dict, target: DataFrame, target_meta: dict, kernel: str = "bilinear") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.focal import along_col, along_row
-from gridloom.schema import KEY, REGION
+from gridloom.schema import KEY, RASTER, REGION
 
 
 def envelope(ring: Column) -> Column:
@@ -56,9 +56,13 @@ def in_region(e: Column) -> Column:
     return in_box(e, *REGION)
 
 
+#: Whether a state's layer is needed for latitudes from low to high, which may be columns; the layers overlap (fixed values).
+STATES = {"OR": lambda low, high: high >= 42.0, "CA": lambda low, high: low < 42.5}
+
+
 def states_needed(min_lat: float, max_lat: float) -> list[str]:
     """The state layers that a raster's latitudes need; the layers overlap."""
-    return (["OR"] if max_lat >= 42.0 else []) + (["CA"] if min_lat < 42.5 else [])
+    return [name for name, needed in STATES.items() if needed(min_lat, max_lat)]
 
 
 def _buckets(polygons: DataFrame, side: float) -> DataFrame:
@@ -88,10 +92,11 @@ def intersecting(a: DataFrame, b: DataFrame, side: float) -> DataFrame:
 
 
 def runs(polygons: DataFrame, height: int, width: int) -> DataFrame:
-    """(poly_id, r, c_start, c_end) of the cells whose centres (c + 1/2, r + 1/2) lie in a polygon, by scan lines in pixel space."""
+    """(poly_id, r, c_start, c_end) of the cells whose centres (c + 1/2, r + 1/2) lie in a polygon, by scan lines in pixel space; raster_id too, if polygons have it."""
+    own = ["poly_id", *[c for c in (RASTER,) if c in polygons.columns]]
     e = envelope(F.col("ring"))
     first, last = F.greatest(F.ceil(e["ymin"] - 0.5), F.lit(0)), F.least(F.floor(e["ymax"] - 0.5), F.lit(height - 1))
-    lines = polygons.filter(last >= first).select("poly_id", "ring", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("r"))
+    lines = polygons.filter(last >= first).select(*own, "ring", F.explode(F.sequence(first.cast("int"), last.cast("int"))).alias("r"))
     ring, y = F.col("ring"), F.col("r") + 0.5
     following = lambda i: F.get(ring, (i + 1) % F.size(ring))
 
@@ -101,15 +106,16 @@ def runs(polygons: DataFrame, height: int, width: int) -> DataFrame:
 
     lines = lines.withColumn("x", F.sort_array(F.array_compact(F.transform(ring, crossing))))
     pairs = F.transform(F.sequence(F.lit(0), (F.size("x") / 2).cast("int") - 1), lambda k: F.struct(F.get("x", 2 * k).alias("a"), F.get("x", 2 * k + 1).alias("b")))
-    found = lines.filter(F.size("x") >= 2).select("poly_id", "r", F.explode(pairs).alias("p"))
+    found = lines.filter(F.size("x") >= 2).select(*own, "r", F.explode(pairs).alias("p"))
     start, end = F.greatest(F.ceil(F.col("p.a") - 0.5), F.lit(0)), F.least(F.ceil(F.col("p.b") - 0.5) - 1, F.lit(width - 1))
-    return found.select("poly_id", "r", start.cast("int").alias("c_start"), end.cast("int").alias("c_end")).filter("c_end >= c_start")
+    return found.select(*own, "r", start.cast("int").alias("c_start"), end.cast("int").alias("c_end")).filter("c_end >= c_start")
 
 
 def rasterised(grid: DataFrame, polygons: DataFrame, height: int, width: int) -> DataFrame:
-    """The cells of grid with label 1 inside any polygon, else 0."""
-    cells = runs(polygons, height, width).select("r", F.explode(F.sequence("c_start", "c_end")).alias("c")).distinct()
-    return grid.select(*KEY).join(cells.withColumn("label", F.lit(1)), ["r", "c"], "left").select(*KEY, F.coalesce("label", F.lit(0)).alias("label"))
+    """The cells of grid with label 1 inside any polygon, else 0; polygons with a raster_id belong to that raster only, others to all."""
+    key = KEY if RASTER in polygons.columns else ["r", "c"]
+    cells = runs(polygons, height, width).withColumn("c", F.explode(F.sequence("c_start", "c_end"))).select(*key).distinct()
+    return grid.select(*KEY).join(cells.withColumn("label", F.lit(1)), key, "left").select(*KEY, F.coalesce("label", F.lit(0)).alias("label"))
 
 
 def outlined(labels: DataFrame) -> DataFrame:
