@@ -49,16 +49,24 @@ def write_single_band(df: DataFrame, value: str, path: str, nodata: float = NODA
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Rewrites a table that df may read: written beside it first, then moved into its place."""
+    """Rewrites a table that df may read: written beside it first, then moved into its place.
+
+    The old table goes last; if it can't be moved away, or the new one not into its place, it stays or is put back and an error is raised.
+    """
     fs = spark.sparkContext._jvm.org.apache.hadoop.fs
     target = fs.Path(path)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     staging, old = fs.Path(path.rstrip("/") + "__new"), fs.Path(path.rstrip("/") + "__old")
     df.write.mode("overwrite").parquet(staging.toString())
+    if not system.exists(target) and system.exists(old) and not system.rename(old, target):  # left by a run that was cut off
+        raise OSError(f"cannot put {old.toString()} back")
     system.delete(old, True)
-    if system.exists(target):
-        system.rename(target, old)
-    system.rename(staging, target)
+    there = system.exists(target)
+    if there and not system.rename(target, old):
+        raise OSError(f"cannot move {path} away; the new table is {staging.toString()}")
+    if not system.rename(staging, target):
+        back = there and system.rename(old, target)
+        raise OSError(f"cannot move the new table into {path}; " + ("the old one is back" if back or not there else f"the old one is {old.toString()}"))
     system.delete(old, True)
 
 
@@ -225,8 +233,8 @@ def unfinished(names: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return names.join(done, key, "left_anti")
 
 
-def without_fixed(names: DataFrame, name: str = "name") -> DataFrame:
-    return names.filter(~F.col(name).endswith("_fixed.tif"))
+def without_fixed(names: DataFrame, name: str = "name", ending: str = "_fixed.tif") -> DataFrame:
+    return names.filter(~F.col(name).endswith(ending))
 
 
 def only_raster(df: DataFrame) -> str:

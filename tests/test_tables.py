@@ -209,3 +209,20 @@ def test_stream_of_events(spark, tmp_path):
     q = tiles.windowed_means(stream, "10 days").writeStream.format("memory").queryName("means").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.sql("SELECT sum(n) FROM means").first()[0] == events.count()
+
+
+def test_replaced_tables_survive_a_failed_move(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    for n in (3, 5):
+        files.replace_table(spark, spark.range(n), path)
+        assert spark.read.parquet(path).count() == n
+    files.replace_table(spark, spark.read.parquet(path).filter("id > 0"), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4]
+    # A run that was cut off between the two moves.
+    (tmp_path / "t").rename(tmp_path / "t__old")
+    files.replace_table(spark, spark.range(2), path)
+    assert spark.read.parquet(path).count() == 2 and not (tmp_path / "t__old").exists()
+    # A place that can't be moved to: the parent is a file.
+    (tmp_path / "f").write_text("")
+    with pytest.raises(Exception, match="f"):
+        files.replace_table(spark, spark.range(2), f"{tmp_path}/f/t")
