@@ -26,6 +26,11 @@ def trailing(ts: Column, end: datetime, months: int = 6) -> Column:
     return (ts >= F.add_months(stop, -months)) & (ts < stop)
 
 
+def trailing_mean(value: str, keys: list[str], ts: str, months: int = 6) -> Column:
+    """The mean over the rows of the same keys from so many months before a row's time up to it."""
+    return F.expr(f"avg({value}) over (partition by {', '.join(keys)} order by cast({ts} as timestamp) range between interval {months} months preceding and current row)")
+
+
 def composite(images: DataFrame, keys: list[str], how: str = "mean", value: str = "value") -> DataFrame:
     """One value for each place: the mean or sum of the images."""
     return images.groupBy(*keys).agg({"mean": F.avg, "sum": F.sum, "min": F.min, "max": F.max}[how](value).alias(value))
