@@ -3,13 +3,14 @@
 A payload is the UTF-8 bytes of a text, filled up with bytes 255 to frames of 576.  A frame is a baseline JPEG in grey of
 24 by 24 blocks; each block is flat and holds one byte as its DC coefficient (quantiser 8, so DC / 8 + 128 is the value of
 all its 64 samples), which makes the format lossless: its unit is the block.  Reading parses the RIFF chunks, follows idx1
-to the frames and decodes their Huffman code, all frames of a group in step.  A shot ends where the histogram difference of
+to the frames and decodes their Huffman code, all frames of a group in step; a frame that doesn't begin with the writer's
+tables goes through a whole baseline decoder, and its blocks' mean samples are the values.  A shot ends where the histogram difference of
 neighbouring frames exceeds an adaptive threshold: the mean and CUT times the deviation of the differences in the WINDOW
 frames before it, and FLOOR at least.  Frames last 1 / RATE seconds, so shots are timed clips.
 
 Defined results: a null or empty text has one frame of bytes 255 and one clip; texts of any length are stored whole, and
 frames are coded GROUP at a time, so that memory grows only with the stored file; equal texts give equal files; repeated
-rows are stored each for itself; other columns aren't read, so their names can't clash.
+rows are stored each for itself; of equal differences none ends a shot unless all do; an empty table gives no rows; other columns aren't read, so their names can't clash.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm import common
+from gridloom.llm import common, jpeg
 
 SIDE = 24
 FRAME = SIDE * SIDE
@@ -152,14 +153,9 @@ def read_frames(data: bytes) -> list[bytes]:
     return out
 
 
-def scan_data(jpeg: bytes) -> bytes:
-    """The entropy-coded data of a JPEG frame, found by its markers."""
-    if jpeg.startswith(HEAD):
-        return jpeg[len(HEAD) : -2]
-    at = 2
-    while jpeg[at + 1] != 0xDA:
-        at += 2 + struct.unpack_from(">H", jpeg, at + 2)[0]
-    return jpeg[at + 2 + struct.unpack_from(">H", jpeg, at + 2)[0] : -2]
+def scan_data(frame: bytes) -> bytes:
+    """The entropy-coded data of a frame that begins with HEAD."""
+    return frame[len(HEAD) : -len(TAIL)]
 
 
 def stored(payloads: list[bytes]) -> list[bytes]:
@@ -175,10 +171,17 @@ def stored(payloads: list[bytes]) -> list[bytes]:
 
 
 def read_back(files: list[bytes]) -> list[np.ndarray]:
-    """The frames of each file, as rows of bytes."""
+    """The frames of each file, as rows of bytes: frames that begin as the writer's do are decoded in step, any others one by one."""
     coded = [read_frames(f) for f in files]
-    data = [scan_data(j) for c in coded for j in c]
-    frames = np.concatenate([unscanned(data[a : a + GROUP]) for a in range(0, len(data), GROUP)])
+    every = [j for c in coded for j in c]
+    frames, own = np.empty((len(every), FRAME), np.uint8), [k for k, j in enumerate(every) if j.startswith(HEAD)]
+    for a in range(0, len(own), GROUP):
+        frames[own[a : a + GROUP]] = unscanned([scan_data(every[k]) for k in own[a : a + GROUP]])
+    for k in set(range(len(every))).difference(own):  # with other tables, coefficients or markers
+        blocks = jpeg.block_means(every[k])
+        if blocks.shape != (SIDE, SIDE):
+            raise ValueError(f"a frame has {blocks.shape} blocks, not {SIDE} by {SIDE}")
+        frames[k] = blocks.ravel()
     cuts = np.cumsum([len(c) for c in coded])
     return np.split(frames, cuts[:-1])
 

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 
 import corpus_pipeline
-from gridloom.llm import line_dedup, mixing, quality_model, queries, quotes, simhash
+from gridloom.llm import common, line_dedup, mixing, quality_model, quality_rules, queries, quotes, simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SMALL = "/root/testdata/sf0.001"
@@ -343,6 +343,17 @@ def test_quotes_sql(spark):
 
 
 @pytest.mark.parametrize("name", ["op2_mixing", "op7_quotes", "op9_line_dedup", "op10_quality_rules"])
-def test_native_operators_run_no_python(spark, name):
-    plan = queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString()
-    assert not re.search("Python|Pandas|InArrow|CartesianProduct", plan)
+def test_native_operators_run_no_python(spark, monkeypatch, name):
+    """Also in the plans of what they write on the way."""
+    plans, written = [], common.checkpointed
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().toString())
+        return written(df)
+
+    for module in (common, mixing, quotes, line_dedup, quality_rules):
+        if hasattr(module, "checkpointed"):
+            monkeypatch.setattr(module, "checkpointed", recorded)
+    plans.append(queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString())
+    assert len(plans) > 1 and any("documents.parquet" in p or "conversations.parquet" in p for p in plans)
+    assert not any(re.search("Python|Pandas|InArrow|CartesianProduct", p) for p in plans)

@@ -4,15 +4,17 @@ import hashlib
 import math
 import random
 import re
+import struct
 import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from gridloom.llm import avi, bpe, pii, quality_rules
+from gridloom.llm import avi, bpe, jpeg, pii, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -288,10 +290,81 @@ def test_avi_round_trip_and_shots():
         avi.riff(files[0][: len(files[0]) // 2])
 
 
-def test_avi_scan_is_found_by_markers():
-    frame = avi.read_frames(avi.stored([bytes(range(256)) * 2 + bytes(64)])[0])[0]
+def coded_jpeg(planes, sampling, steps, shape, restart=0):
+    """A baseline JPEG with codes of 8 bits for all symbols, and the samples that its coefficients stand for."""
+    zigzag = [0, 1, 8, 16, 9, 2, 3, 10, 17, 24, 32, 25, 18, 11, 4, 5, 12, 19, 26, 33, 40, 48, 41, 34, 27, 20, 13, 6, 7, 14, 21, 28, 35, 42, 49, 56, 57, 50, 43, 36, 29, 22, 15, 23, 30, 37, 44, 51, 58, 59, 52, 45, 38, 31, 39, 46, 53, 60, 61, 54, 47, 55, 62, 63]
+    wave = np.array([[(0.5 if u else 8**-0.5) * math.cos((2 * x + 1) * u * math.pi / 16) for u in range(8)] for x in range(8)])
+    symbols = [r << 4 | n for r in range(16) for n in range(12) if n or r in (0, 15)][::-1]
+    bits = lambda v, n: format(v, f"0{n}b") if n else ""
+    number = lambda v: (abs(v).bit_length(), bits(v if v > 0 else v + (1 << abs(v).bit_length()) - 1, abs(v).bit_length()))
+    seen, before, pieces, out = [np.zeros(p.shape) for p in planes], [0] * len(planes), [], ""
+
+    def block(i, y, x):
+        table = np.array(steps)
+        found = wave.T @ (planes[i][y : y + 8, x : x + 8] - 128.0) @ wave
+        quantised = np.rint(found.ravel()[zigzag] / table).astype(int)
+        back = np.zeros(64)
+        back[zigzag] = quantised * table
+        seen[i][y : y + 8, x : x + 8] = wave @ back.reshape(8, 8) @ wave.T + 128
+        size, extra = number(int(quantised[0]) - before[i])
+        before[i] = int(quantised[0])
+        code, run = bits(symbols.index(size), 8) + extra, 0
+        last = max(np.flatnonzero(quantised[1:]).tolist(), default=-1) + 1
+        for v in quantised[1 : last + 1].tolist():
+            if v == 0:
+                run += 1
+                continue
+            while run > 15:
+                code, run = code + bits(symbols.index(0xF0), 8), run - 16
+            size, extra = number(v)
+            code, run = code + bits(symbols.index(run << 4 | size), 8) + extra, 0
+        return code + (bits(symbols.index(0), 8) if last < 63 else "")
+
+    down, across = max(s[0] for s in sampling), max(s[1] for s in sampling)
+    units = [(r, c) for r in range(-(-shape[0] // (8 * down))) for c in range(-(-shape[1] // (8 * across)))]
+    for k, (r, c) in enumerate(units):
+        if restart and k and k % restart == 0:
+            pieces, out, before = [*pieces, out], "", [0] * len(planes)
+        out += "".join(block(i, 8 * (r * s[0] + a), 8 * (c * s[1] + b)) for i, s in enumerate(sampling) for a in range(s[0]) for b in range(s[1]))
+    data = b""
+    for k, piece in enumerate([*pieces, out]):
+        piece += "1" * (-len(piece) % 8)
+        data += (bytes([0xFF, 0xD0 + (k - 1) % 8]) if k else b"") + bytes(int(piece[i : i + 8], 2) for i in range(0, len(piece), 8)).replace(b"\xff", b"\xff\x00")
+    part = lambda kind, body: bytes([0xFF, kind]) + struct.pack(">H", len(body) + 2) + body
+    codes = bytes([0] * 7 + [len(symbols)] + [0] * 8) + bytes(symbols)
+    head = part(0xFE, b"a comment") + part(0xDB, b"\x12" + struct.pack(">64H", *steps)) + (part(0xDD, struct.pack(">H", restart)) if restart else b"")
+    head += part(0xC0, struct.pack(">BHHB", 8, *shape, len(planes)) + b"".join(bytes([i + 1, s[1] << 4 | s[0], 2]) for i, s in enumerate(sampling)))
+    head += part(0xC4, b"\x01" + codes + b"\x13" + codes) + part(0xDA, bytes([len(planes)]) + b"".join(bytes([i + 1, 0x13]) for i in range(len(planes))) + b"\0\x3f\0")
+    return b"\xff\xd8" + head + data + b"\xff\xd9", [np.clip(np.rint(x), 0, 255) for x in seen]
+
+
+@pytest.mark.parametrize("restart", [0, 1, 3])
+@pytest.mark.parametrize("sampling", [[(1, 1)], [(2, 2), (1, 1), (1, 1)], [(1, 2), (1, 1)]])
+def test_jpeg_with_tables_of_its_own(sampling, restart):
+    random, steps = np.random.default_rng(4), [3 + k // 4 for k in range(64)]
+    planes = [random.integers(0, 256, (32 // max(s[0] for s in sampling) * s[0], 48 // max(s[1] for s in sampling) * s[1])) for s in sampling]
+    coded, seen = coded_jpeg(planes, sampling, steps, (32, 48), restart)
+    got = jpeg.decoded(coded)
+    assert [np.abs(g - s).max() <= 1 for g, s in zip(got, seen, strict=True)] == [True] * len(planes)
+    assert np.mean([np.mean(g == s) for g, s in zip(got, seen, strict=True)]) > 0.999
+    for wrong, why in ((coded[:-40], "."), (coded.replace(b"\xff\xc0", b"\xff\xc2"), "baseline"), (coded.replace(b"\xff\xdb", b"\xff\xe1"), "isn't defined"), (b"GIF", "no JPEG")):
+        with pytest.raises(ValueError, match=why):
+            jpeg.decoded(wrong)
+
+
+def test_avi_frames_of_other_writers():
+    """Comments, other quantisers and other codes are followed; frames of another size are refused."""
+    values = np.random.default_rng(5).integers(90, 160, 576).astype(np.uint8)
+    frame = avi.read_frames(avi.stored([values.tobytes()])[0])[0]
     comment = frame[:2] + b"\xff\xfe\x00\x04hi" + frame[2:]
-    assert avi.scan_data(comment) == avi.scan_data(frame)
+    twice = frame.replace(bytes([8]) + bytes([1]) * 63, bytes([16]) + bytes([1]) * 63)
+    flat = np.kron(values.reshape(24, 24), np.ones((8, 8)))
+    other, _ = coded_jpeg([flat], [(1, 1)], [8] * 64, (192, 192), 5)
+    got = avi.read_back([avi.avi([frame, comment, twice, other])])[0]
+    assert (got == [values, values, np.clip(2 * values.astype(int) - 128, 0, 255), values]).all()
+    small, _ = coded_jpeg([flat[:64, :64]], [(1, 1)], [8] * 64, (64, 64))
+    with pytest.raises(ValueError, match="blocks"):
+        avi.read_back([avi.avi([small])])
 
 
 def test_avi_query(odd, none, odd_rows):
