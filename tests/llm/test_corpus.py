@@ -357,3 +357,15 @@ def test_native_operators_run_no_python(spark, monkeypatch, name):
     plans.append(queries.QUERIES[name](spark, SMALL)._jdf.queryExecution().toString())
     assert len(plans) > 1 and any("documents.parquet" in p or "conversations.parquet" in p for p in plans)
     assert not any(re.search("Python|Pandas|InArrow|CartesianProduct", p) for p in plans)
+
+
+@pytest.mark.parametrize(("name", "stage"), corpus_pipeline.STAGES)
+def test_stages_take_odd_rows(spark, odd, none, odd_rows, name, stage):
+    """Nulls, empty and very long texts, ties, repeated rows, clashing names and empty tables, in each stage by itself."""
+    out, empty = stage(spark, odd, SMALL), stage(spark, none, SMALL)
+    assert empty.count() == 0 and (name == "bpe" or out.columns == empty.columns == odd.columns)
+    ids = Counter(x.doc_id for x in out.select("doc_id").collect())
+    given = Counter(d for d, *_ in odd_rows)
+    assert set(ids) <= set(given) and (name == "mixing" or not ids - given)
+    if name in ("mixing", "bpe"):
+        assert not given - ids
