@@ -1,4 +1,8 @@
-"""A corpus pipeline: rejects low quality, deletes repeated lines, drops near copies, mixes the sources and encodes the texts."""
+"""A corpus pipeline: rejects low quality, deletes repeated lines, drops near copies, mixes the sources and encodes the texts.
+
+Defined results of every stage but the last: the columns of docs in their order, whatever the names of further ones; an empty table
+gives an empty one; a null text counts as empty; texts are worked on whole, however long.  Ties and repeated rows are told at each stage.
+"""
 
 from __future__ import annotations
 
@@ -9,22 +13,25 @@ from gridloom.llm.common import checkpointed, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier doesn't reject."""
+    """Documents that the quality classifier doesn't reject: a score of one half or more stays; repeated rows have equal scores."""
     return quality_model.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without later copies of repeated line runs; one of which nothing is left goes, and n_chars follows the text."""
+    """Documents without later copies of repeated line runs; one of which nothing is left goes, and n_chars follows the text.
+
+    The first copy, by doc_id (null first), then text hash, stays; a text without words loses nothing and stays.
+    """
     return line_dedup.remaining(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group."""
+    """One row of each SimHash group: that of the smallest doc_id (null last), then of the least digest; texts without words are one group."""
     return simhash.representatives(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mixture of their sources has them, each at least once."""
+    """Documents as often as the mixture of their sources has them, each at least once; a null source is a source, repeated rows count each."""
     return mixing.mixed(docs)
 
 
