@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import io
 import json
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +14,7 @@ from pyspark.sql import types as T
 from gridloom.functions.missing import to_sentinel
 from gridloom.schema import FEATURES, KEY, NODATA, RASTER, ROW, TRAINING
 from gridloom.ship import ship
+from gridloom.sources.geotiff import tiff_blocks, tiff_metadata
 
 #: Rows of a raster in a chunk of the windowed scan.
 CHUNK_ROWS = 500
@@ -72,73 +71,22 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str) -> None:
 
 # GeoTIFF --------------------------------------------------------------------------------------------------------------
 
-#: TIFF field types: size and struct code (fixed values).
-FIELD_TYPES = {1: (1, "B"), 2: (1, "c"), 3: (2, "H"), 4: (4, "I"), 11: (4, "f"), 12: (8, "d")}
-WIDTH, HEIGHT, BITS, COMPRESSION, OFFSETS, SAMPLES, ROWS_PER_STRIP, COUNTS, FORMAT = 256, 257, 258, 259, 273, 277, 278, 279, 339
-PIXEL_SCALE, TIE_POINT, GEO_KEYS, NODATA_TAG = 33550, 33922, 34735, 42113
-
-
-def decode_tiff(data: bytes) -> tuple[np.ndarray, dict]:
-    """(bands, height, width) and the metadata of an uncompressed GeoTIFF in strips."""
-    order = "<" if data[:2] == b"II" else ">"
-    at = struct.unpack_from(order + "I", data, 4)[0]
-    tags = {}
-    for k in range(struct.unpack_from(order + "H", data, at)[0]):
-        tag, kind, count = struct.unpack_from(order + "HHI", data, at + 2 + 12 * k)
-        size, code = FIELD_TYPES.get(kind, (1, "B"))
-        place = at + 10 + 12 * k if size * count <= 4 else struct.unpack_from(order + "I", data, at + 10 + 12 * k)[0]
-        tags[tag] = struct.unpack_from(f"{order}{count}{code}", data, place)
-    if tags.get(COMPRESSION, (1,))[0] != 1:
-        raise ValueError("only uncompressed rasters are read")
-    kind = {(1, 8): "u1", (1, 16): "u2", (1, 32): "u4", (2, 16): "i2", (2, 32): "i4", (3, 32): "f4", (3, 64): "f8"}[tags.get(FORMAT, (1,))[0], tags[BITS][0]]
-    w, h, n = tags[WIDTH][0], tags[HEIGHT][0], tags.get(SAMPLES, (1,))[0]
-    raw = b"".join(data[a : a + c] for a, c in zip(tags[OFFSETS], tags[COUNTS], strict=True))
-    cells = np.frombuffer(raw, order + kind)
-    bands = cells.reshape(n, h, w) if tags.get(284, (1,))[0] == 2 else np.moveaxis(cells.reshape(h, w, n), 2, 0)
-    scale, tie = tags.get(PIXEL_SCALE, (1.0, 1.0, 0.0)), tags.get(TIE_POINT, (0.0,) * 6)
-    keys = tags.get(GEO_KEYS, ())
-    srid = next((keys[i + 3] for i in range(4, len(keys), 4) if keys[i] in (3072, 2048)), 0)
-    nodata = b"".join(tags[NODATA_TAG]).strip(b"\0 ") if NODATA_TAG in tags else b""
-    meta = {"width": w, "height": h, "srid": srid, "transform": (scale[0], 0.0, tie[3] - tie[0] * scale[0], 0.0, -scale[1], tie[4] + tie[1] * scale[1]), "nodata": float(nodata) if nodata else None, "dtype": kind}
-    return bands, meta
-
-
-def encode_tiff(bands: np.ndarray, transform: tuple[float, ...], srid: int, nodata: float | None) -> bytes:
-    """An uncompressed GeoTIFF of float32 in one strip for each band."""
-    n, h, w = bands.shape
-    raw = bands.astype("<f4").tobytes()
-    a, _, x0, _, e, y0 = transform
-    entries = [
-        (WIDTH, 4, [w]), (HEIGHT, 4, [h]), (BITS, 3, [32] * n), (COMPRESSION, 3, [1]), (262, 3, [1]), (OFFSETS, 4, [8 + k * h * w * 4 for k in range(n)]), (SAMPLES, 3, [n]), (ROWS_PER_STRIP, 4, [h]), (COUNTS, 4, [h * w * 4] * n),
-        (284, 3, [2]), (FORMAT, 3, [3] * n), (PIXEL_SCALE, 12, [a, -e, 0.0]), (TIE_POINT, 12, [0.0, 0.0, 0.0, x0, y0, 0.0]), (GEO_KEYS, 3, [1, 1, 0, 1, 3072 if srid != 4326 else 2048, 0, 1, srid]),
-    ]
-    if nodata is not None:
-        entries.append((NODATA_TAG, 2, [bytes([b]) for b in f"{nodata:g}".encode() + b"\0"]))
-    out = io.BytesIO()
-    out.write(b"II*\0" + struct.pack("<I", 8 + len(raw)) + raw)
-    directory = struct.pack("<H", len(entries))
-    extra, place = b"", 8 + len(raw) + 2 + 12 * len(entries) + 4
-    for tag, kind, values in entries:
-        packed = struct.pack(f"<{len(values)}{FIELD_TYPES[kind][1]}", *values)
-        field = packed.ljust(4, b"\0") if len(packed) <= 4 else struct.pack("<I", place + len(extra))
-        extra += packed + b"\0" * (len(packed) % 2) if len(packed) > 4 else b""
-        directory += struct.pack("<HHI", tag, kind, len(values)) + field
-    out.write(directory + b"\0" * 4 + extra)
-    return out.getvalue()
-
 
 def read_tiffs(spark: SparkSession, path: str, pattern: str = "*.tif") -> DataFrame:
-    """(raster_id, band, r, c, value) of the GeoTIFF files below a path; raster_id is the file's name without its ending."""
+    """(raster_id, band, r, c, value) of the GeoTIFF files below a path; raster_id is the file's name without its ending.
+
+    A file is read whole, then decoded block by block.
+    """
 
     def run(files: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in files:
             for name, data in zip(pdf["name"], pdf["content"], strict=True):
-                bands, meta = decode_tiff(data)
-                r, c = np.meshgrid(np.arange(meta["height"]), np.arange(meta["width"]), indexing="ij")
-                for k, band in enumerate(bands, 1):
-                    for a in range(0, meta["height"], CHUNK_ROWS):
-                        part = slice(a, a + CHUNK_ROWS)
-                        yield pd.DataFrame({RASTER: name, "band": k, "r": r[part].ravel(), "c": c[part].ravel(), "value": band[part].ravel().astype(float)})
+                for first, top, left, block in tiff_blocks(data):
+                    r, c = np.meshgrid(top + np.arange(block.shape[1]), left + np.arange(block.shape[2]), indexing="ij")
+                    for k, band in enumerate(block, first + 1):
+                        for a in range(0, len(band), CHUNK_ROWS):
+                            part = slice(a, a + CHUNK_ROWS)
+                            yield pd.DataFrame({RASTER: name, "band": k, "r": r[part].ravel(), "c": c[part].ravel(), "value": band[part].ravel().astype(float)})
 
     ship(spark)
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
@@ -153,7 +101,7 @@ def read_tiff_metadata(spark: SparkSession, path: str, pattern: str = "*.tif") -
         for pdf in files:
             rows = []
             for name, data in zip(pdf["name"], pdf["content"], strict=True):
-                m = decode_tiff(data)[1]
+                m = tiff_metadata(data)
                 rows.append({RASTER: name, **{k: m[k] for k in ("width", "height", "srid", "nodata", "dtype")}, **dict(zip("abcdef", m["transform"], strict=True))})
             yield pd.DataFrame(rows)
 

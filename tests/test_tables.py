@@ -1,5 +1,8 @@
 """Sources, sinks, samples, metrics, polygons, models, batches and streams."""
 
+import struct
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -8,14 +11,14 @@ from pyspark.sql import types as T
 from gridloom.operators import boosting, metrics, ml, sampling, temporal, vector
 from gridloom.plans import terrain as plan
 from gridloom.schema import FEATURES
-from gridloom.sources import files
+from gridloom.sources import files, geotiff
 from gridloom.streaming import tiles
 
 
 def test_tiff_round_trip(spark, tmp_path):
     a = np.random.default_rng(1).random((3, 7, 5)).astype("f4")
-    data = files.encode_tiff(a, (10.0, 0.0, 500000.0, 0.0, -10.0, 4650300.0), 32610, -9999)
-    bands, meta = files.decode_tiff(data)
+    data = geotiff.encode_tiff(a, (10.0, 0.0, 500000.0, 0.0, -10.0, 4650300.0), 32610, -9999)
+    bands, meta = geotiff.decode_tiff(data)
     assert (bands == a).all() and meta["srid"] == 32610 and meta["nodata"] == -9999 and meta["transform"] == (10.0, 0.0, 500000.0, 0.0, -10.0, 4650300.0)
     (tmp_path / "x_filled.tif").write_bytes(data)
     (tmp_path / "x_fixed.tif").write_bytes(data)
@@ -30,6 +33,100 @@ def test_tiff_round_trip(spark, tmp_path):
         files.first_match(names, ".csv")
 
 
+def lzw(data):
+    """Each code as bits: the longest known string; a width grows when the encoder's table has 511, 1,023 or 2,047 strings and is cleared at 4,094."""
+    out, table, width, at = "", {}, 9, 0
+    table = {bytes([i]): i for i in range(256)}
+    out, free = f"{256:09b}", 258
+    while at < len(data):
+        n = 1
+        while at + n < len(data) and data[at : at + n + 1] in table:
+            n += 1
+        out += f"{table[data[at : at + n]]:0{width}b}"
+        table[data[at : at + n + 1]], free, at = free, free + 1, at + n
+        if free == 4095:
+            out, table, free, width = out + f"{256:0{width}b}", {bytes([i]): i for i in range(256)}, 258, 9
+        width = 12 if free > 2047 else 11 if free > 1023 else 10 if free > 511 else 9
+    out += f"{257:0{width}b}"
+    return int(out.ljust(-(-len(out) // 8) * 8, "0"), 2).to_bytes(-(-len(out) // 8), "big")
+
+
+def runs(data):
+    return b"".join(bytes([257 - 3]) + data[i : i + 1] if data[i : i + 3] == data[i : i + 1] * 3 else bytes([len(data[i : i + 3]) - 1]) + data[i : i + 3] for i in range(0, len(data), 3))
+
+
+PACK = {1: bytes, 5: lzw, 8: zlib.compress, 32773: runs}
+
+
+def tiff(a, compression=1, predictor=1, tile=None, strip=3, big=False, order="<", absent=()):
+    """A chunky TIFF of (rows, columns, samples), cell by cell."""
+    h, w, n = a.shape
+    bh, bw = tile or (strip, w)
+    blocks = []
+    for r in range(0, h, bh):
+        for c in range(0, w, bw):
+            block = np.zeros((bh if tile else min(bh, h - r), bw, n), a.dtype)
+            part = a[r : r + bh, c : c + bw]
+            block[: part.shape[0], : part.shape[1]] = part
+            raw = b""
+            for row in block:
+                if predictor == 2:
+                    row = np.concatenate([row[:1], row[1:] - row[:-1]])
+                line = row.astype(a.dtype.newbyteorder(order)).tobytes()
+                if predictor == 3:
+                    size, cells = a.dtype.itemsize, row.astype(a.dtype.newbyteorder(">")).tobytes()
+                    planes = b"".join(cells[k::size] for k in range(size))
+                    line = bytes((planes[i] - (planes[i - n] if i >= n else 0)) % 256 for i in range(len(planes)))
+                raw += line
+            blocks.append(b"" if len(blocks) in absent else PACK[compression](raw))
+    head = 16 if big else 8
+    starts = [head + sum(len(x) for x in blocks[:k]) for k in range(len(blocks))]
+    kind = {"u": 1, "i": 2, "f": 3}[a.dtype.kind]
+    tags = {256: (4, [w]), 257: (4, [h]), 258: (3, [a.dtype.itemsize * 8] * n), 259: (3, [compression]), 277: (3, [n]), 317: (3, [predictor]), 339: (3, [kind] * n)}
+    tags |= {322: (4, [bw]), 323: (4, [bh]), 324: (4, starts), 325: (4, [len(x) for x in blocks])} if tile else {273: (4, starts), 278: (4, [bh]), 279: (4, [len(x) for x in blocks])}
+    word, inline, at = ("Q", 8, head + sum(map(len, blocks))) if big else ("I", 4, head + sum(map(len, blocks)))
+    free = at + (8 + 20 * len(tags) + 8 if big else 2 + 12 * len(tags) + 4)
+    directory, extra = struct.pack(order + ("Q" if big else "H"), len(tags)), b""
+    for tag, (code, values) in sorted(tags.items()):
+        packed = struct.pack(f"{order}{len(values)}{'H' if code == 3 else 'I'}", *values)
+        directory += struct.pack(order + "HH" + word, tag, code, len(values))
+        directory += packed.ljust(inline, b"\0") if len(packed) <= inline else struct.pack(order + word, free + len(extra))
+        extra += packed if len(packed) > inline else b""
+    magic = b"II" if order == "<" else b"MM"
+    top = magic + (struct.pack(order + "HHHQ", 43, 8, 0, at) if big else struct.pack(order + "HI", 42, at))
+    return top + b"".join(blocks) + directory + struct.pack(order + word, 0) + extra
+
+
+@pytest.mark.parametrize("compression", list(PACK))
+@pytest.mark.parametrize("kind,predictor", [("u1", 1), ("i2", 2), ("f4", 3), ("f8", 1)])
+@pytest.mark.parametrize("tile,big,order", [(None, False, "<"), ((16, 16), False, ">"), ((16, 32), True, "<")])
+def test_tiff_layouts(compression, kind, predictor, tile, big, order):
+    a = (np.random.default_rng(3).normal(50, 15, (37, 45, 2)).round(1) if kind != "u1" else np.random.default_rng(3).integers(0, 9, (37, 45, 2))).astype(kind)
+    data = tiff(a, compression, predictor, tile, 5, big, order)
+    bands, meta = geotiff.decode_tiff(data)
+    assert (bands == np.moveaxis(a, 2, 0)).all() and (meta["width"], meta["height"], meta["bands"], meta["dtype"]) == (45, 37, 2, kind)
+
+
+def test_tiff_lzw_fills_its_table():
+    a = np.random.default_rng(4).integers(0, 256, (120, 100, 1)).astype("u1")
+    assert (geotiff.decode_tiff(tiff(a, 5, strip=120))[0][0] == a[..., 0]).all()
+
+
+def test_tiff_sparse_and_unknown():
+    a = np.full((20, 20, 1), 7, "f4")
+    assert geotiff.decode_tiff(tiff(a, 8, 3, (16, 16), absent=(1,)))[0][0].sum() == 7 * (400 - 16 * 4)
+    with pytest.raises(ValueError):
+        geotiff.decode_tiff(tiff(a).replace(struct.pack("<HHIHH", 259, 3, 1, 1, 0), struct.pack("<HHIHH", 259, 3, 1, 7, 0)))
+
+
+def test_tiles_as_cells(spark, tmp_path):
+    a = np.arange(20 * 21, dtype="f4").reshape(20, 21, 1)
+    (tmp_path / "t.tif").write_bytes(tiff(a, 8, 3, (16, 16)))
+    cells = files.read_tiffs(spark, str(tmp_path)).toPandas()
+    assert len(cells) == a.size and (cells.value == cells.r * 21 + cells.c).all()
+    assert files.read_tiff_metadata(spark, str(tmp_path)).first().height == 20
+
+
 def test_training_tables(spark, tmp_path):
     rows = [(*[float(i + k) for k in range(28)], i % 2) for i in range(6)]
     df = spark.createDataFrame(rows, ", ".join(f"{f} double" for f in FEATURES) + ", label int")
