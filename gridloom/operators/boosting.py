@@ -8,14 +8,16 @@ Guestrin, 2016).  Rows stay where they are: no row is shuffled, only sums are.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloom.operators import metrics, sampling
 from gridloom.operators.graph import checkpointed
 from gridloom.ship import ship
 
@@ -68,6 +70,37 @@ class Booster:
         return [(k, self.features[i], float(self.gains[i] / total)) for k, i in enumerate(order, 1)]
 
 
+def save(spark: SparkSession, model: Booster, path: str) -> None:
+    """Writes a model as one JSON document, in place of an older one; numbers keep all their digits."""
+    trees = [{name: getattr(t, name).tolist() for name in ("feature", "bin", "value")} for t in model.trees]
+    document = {"features": model.features, "edges": [e.tolist() for e in model.edges], "base": model.base, "depth": model.depth, "trees": trees, "gains": model.gains.tolist()}
+    spark.createDataFrame([(json.dumps(document),)], "value string").coalesce(1).write.mode("overwrite").text(path)
+
+
+def load(spark: SparkSession, path: str) -> Booster:
+    """The model that save() wrote."""
+    d = json.loads(spark.read.text(path).first()["value"])
+    trees = [Tree(np.array(t["feature"], np.int64), np.array(t["bin"], np.int64), np.array(t["value"], float)) for t in d["trees"]]
+    return Booster(d["features"], [np.array(e, float) for e in d["edges"]], d["base"], d["depth"], trees, np.array(d["gains"], float))
+
+
+def search(df: DataFrame, features: list[str], points: list[dict], key: list[str], folds: int = 5, label: str = "label", seed: int = 42) -> list[tuple[dict, float, float]]:
+    """Cross-validated search by AUC over stratified folds, all parameters of a point in force; (point, mean, deviation) by falling mean.
+
+    A fold without both classes has no AUC and is left out of the mean; a point without any comes last, with NaN.
+    """
+    folded = checkpointed(sampling.stratified_folds(df.select(*key, *features, label), label, seed, *key, folds=folds))
+    found = []
+    for p in points:
+        scores = []
+        for k in range(folds):
+            held = probability(train(folded.filter(F.col("fold") != k), features, p, label, seed), folded.filter(F.col("fold") == k))
+            scores.append(metrics.auc(held, label, "probability").first()["auc"])
+        known = [x for x in scores if x is not None]
+        found.append((p, float(np.mean(known)) if known else float("nan"), float(np.std(known)) if known else float("nan")))
+    return sorted(found, key=lambda x: -x[1] if x[1] == x[1] else np.inf)
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -60, 60)))
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions.missing import valid_pixel
-from gridloom.operators import metrics, sampling
+from gridloom.operators import boosting, metrics, sampling
 from gridloom.operators.fill import hole_fill
 from gridloom.schema import KEY
 
@@ -32,6 +32,18 @@ GRID = {
     "min_child_weight": [1, 3, 5],
 }
 
+#: The grid of the forests (fixed values); a class weight is that of positives beside 1, None is 1 and the balanced ones are the ratio of the classes.
+FOREST_GRID = {
+    "n_estimators": [50, 100, 150, 200, 250, 300],
+    "max_depth": [None, 10, 20],
+    "min_samples_split": [2, 5],
+    "min_samples_leaf": [1, 2],
+    "bootstrap": [True, False],
+    "class_weight": [None, "balanced", "balanced_subsample", 3, 5],
+}
+#: The deepest tree that MLlib grows, for a depth of None.
+DEEPEST = 30
+
 
 def draws(grid: dict[str, list], n: int, seed: int = 42) -> list[dict]:
     """n different points of a grid, at random."""
@@ -67,8 +79,10 @@ def train(df: DataFrame, features: list[str], classifier) -> PipelineModel:
     return Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), classifier]).fit(df)
 
 
-def probability(model: PipelineModel | CrossValidatorModel, df: DataFrame, name: str = "probability") -> DataFrame:
+def probability(model: PipelineModel | CrossValidatorModel | boosting.Booster, df: DataFrame, name: str = "probability") -> DataFrame:
     """df with the probability of class 1."""
+    if isinstance(model, boosting.Booster):
+        return boosting.probability(model, df, name)
     scored = model.transform(df)
     return scored.select(*df.columns, vector_to_array(F.col("probability"))[1].alias(name))
 
@@ -80,18 +94,35 @@ def evaluate(df: DataFrame, score: str = "probability", by: list[str] | None = N
     return area.join(measured, by) if by else area.crossJoin(measured)  # one row each
 
 
+def positive_weight(point: dict) -> float | None:
+    """What positives weigh beside 1 at a point of either grid; None is the ratio of negatives to positives."""
+    if "class_weight" in point:
+        w = point["class_weight"]
+        return None if isinstance(w, str) else float(w or 1)
+    return float(point["scale_pos_weight"]) if "scale_pos_weight" in point else None
+
+
+def settings(classifier: GBTClassifier | RandomForestClassifier, point: dict, weight: str) -> dict:
+    """A point as MLlib's parameters, with the column that weighs rows."""
+    trees, depth = int(point["n_estimators"]), int(point["max_depth"] or DEEPEST)
+    out = {classifier.weightCol: weight, classifier.maxDepth: depth}
+    if isinstance(classifier, RandomForestClassifier):
+        return out | {classifier.numTrees: trees, classifier.minInstancesPerNode: int(point["min_samples_leaf"]), classifier.bootstrap: bool(point["bootstrap"])}
+    return out | {classifier.maxIter: trees, classifier.stepSize: float(point["learning_rate"]), classifier.subsamplingRate: float(point["subsample"]), classifier.featureSubsetStrategy: str(point["colsample_bytree"]), classifier.minInstancesPerNode: int(point["min_child_weight"])}
+
+
 def search(df: DataFrame, features: list[str], points: list[dict], key: list[str], folds: int = 5, parallelism: int = 4, seed: int = 42) -> tuple[CrossValidatorModel, list[tuple[dict, float, float]]]:
     """Cross-validated search by AUC over stratified folds; (point, mean, deviation) by falling mean.
 
-    Positives weigh as much as a point's scale_pos_weight says, or else the ratio of negatives to positives; the AUC is without weights.
+    Points are of GRID, or of FOREST_GRID for forests.  Positives weigh what positive_weight() says; the AUC is without weights.
+    MLlib's trees have no equal of gamma, reg_alpha and reg_lambda (boosting.search() has) nor of min_samples_split; these are kept with the result.
     """
     folded = sampling.stratified_folds(weighted(df), "label", seed, *key, folds=folds)
-    scales = {float(p["scale_pos_weight"]): f"weight_{i}" for i, p in enumerate(points) if "scale_pos_weight" in p}
+    scales = {w: f"weight_{i}" for i, w in enumerate(sorted({positive_weight(p) for p in points} - {None}))}
     folded = folded.withColumns({name: F.when(F.col("label") == 1, F.lit(w)).otherwise(1.0) for w, name in scales.items()})
-    column = lambda p: scales[float(p["scale_pos_weight"])] if "scale_pos_weight" in p else "weight"
-    gbt = boosted_trees(points[0])
-    maps = [{gbt.weightCol: column(p), gbt.maxIter: int(p["n_estimators"]), gbt.maxDepth: int(p["max_depth"]), gbt.stepSize: float(p["learning_rate"]), gbt.subsamplingRate: float(p["subsample"]), gbt.featureSubsetStrategy: str(p["colsample_bytree"]), gbt.minInstancesPerNode: int(p["min_child_weight"])} for p in points]
-    validator = CrossValidator(estimator=Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), gbt]), estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(numBins=0), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
+    classifier = forest(seed=seed) if "bootstrap" in points[0] else boosted_trees(points[0])
+    maps = [settings(classifier, p, scales.get(positive_weight(p), "weight")) for p in points]
+    validator = CrossValidator(estimator=Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features"), classifier]), estimatorParamMaps=maps, evaluator=BinaryClassificationEvaluator(numBins=0), numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
     model = validator.fit(folded)
     found = sorted(zip(points, model.avgMetrics, model.stdMetrics, strict=True), key=lambda x: -x[1])
     return model, found

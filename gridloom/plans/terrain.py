@@ -9,10 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.functions import missing, terrain
-from gridloom.operators import focal, hydrology, resample, sampling, tiled, zonal
+from gridloom.operators import boosting, focal, hydrology, metrics, ml, resample, sampling, tiled, zonal
 from gridloom.operators.fill import median_fill, nearest_fill
 from gridloom.operators.graph import checkpointed
 from gridloom.schema import FEATURES, KEY, NODATA
+from gridloom.sources import files
 
 
 def twi_100m(dem: DataFrame, sca: DataFrame, z: str, area: str, spacing: float = 10.0, mask_nodata: bool = True) -> DataFrame:
@@ -80,6 +81,44 @@ def final_statistics(probabilities: DataFrame, by: list[str] | None = None) -> D
     return zonal.meadow_summary(probabilities, "probability", valid, by=by)
 
 
+def short_parameters(tuned: dict | None = None) -> dict:
+    """The parameters of a quick trial: ten trees, else as tuned; without tuning trees of depth 4 at a rate of 0.1."""
+    own = {"max_depth": 4.0, "learning_rate": 0.1} if tuned is None else {k: v for k, v in tuned.items() if k != "scale_pos_weight"}
+    return files.DEFAULTS | own | {"n_estimators": 10.0}
+
+
+def trained(rows: DataFrame, names: list[str], params: dict, key: list[str], path: str | None = None, seed: int = 42) -> tuple[boosting.Booster, DataFrame]:
+    """Trees of the second order from three quarters of the labelled rows, and a row with the AUC and report of the rest.
+
+    Positives weigh the training part's negatives to positives; with a path the model is saved there.
+    """
+    split = checkpointed(sampling.stratified_split(rows.select(*key, *names, "label"), "label", seed, *key))
+    part = split.filter("is_train")
+    ratio = metrics.class_weight(part, "label").first()["scale_pos_weight"]
+    model = boosting.train(part, names, params | {"scale_pos_weight": float(ratio or 1.0)}, seed=seed)
+    if path is not None:
+        boosting.save(rows.sparkSession, model, path)
+    return model, ml.evaluate(boosting.probability(model, split.filter("not is_train")))
+
+
+def modelled(dem: DataFrame, labels: DataFrame, params: dict, soil: DataFrame | None = None, spacing: float = 10.0, path: str | None = None, seed: int = 42, **sizes) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From elevation and labels to (probabilities of all cells, the held-out evaluation, the summary of the probabilities).
+
+    sizes are those of the balanced sample.
+    """
+    stack = checkpointed(features(dem, soil, spacing=spacing))
+    names = [f for f in FEATURES if f in stack.columns]
+    model, report = trained(training_rows(stack, labels, seed, **sizes), names, params, KEY, path, seed)
+    probabilities = checkpointed(ml.predict_raster(model, stack, names))
+    return probabilities, report, final_statistics(probabilities)
+
+
+def predict_each(spark, model, stacks: Iterable[tuple[str, Callable[[], DataFrame]]], names: list[str], path: str) -> list[tuple[str, str, float, str]]:
+    """Writes the probabilities of each named stack below path; one that fails is reported and the rest go on."""
+    run = lambda name, stack: lambda: files.write_single_band(ml.predict_raster(model, stack(), names), "probability", f"{path}/{name}")
+    return batch(spark, [(name, run(name, stack)) for name, stack in stacks])
+
+
 def step(spark, name: str, action: Callable[[], object]) -> tuple[str, str, float, str]:
     """(name, status, seconds, error) of a step; its jobs run as a group of that name."""
     began = time.time()

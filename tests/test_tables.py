@@ -280,6 +280,58 @@ def test_second_order_trees(spark):
     assert (flat.trees[0].value == 0).all()
 
 
+def labelled_squares(spark, n=400):
+    r = np.random.default_rng(21)
+    rows = [(i, float(a), float(b), int(a + 0.2 * b > 0.7)) for i, (a, b) in enumerate(r.random((n, 2)))]
+    return spark.createDataFrame(rows, "id long, a double, b double, label int").cache()
+
+
+def test_saved_trees_and_trial(spark, tmp_path):
+    df = labelled_squares(spark)
+    params = plan.short_parameters()
+    assert params["n_estimators"] == 10 and params["max_depth"] == 4 and params["reg_lambda"] == 2
+    assert plan.short_parameters({"max_depth": 6.0, "n_estimators": 300.0, "scale_pos_weight": 5.0}) == files.DEFAULTS | {"max_depth": 6.0, "n_estimators": 10.0}
+    path = str(tmp_path / "model")
+    model, report = plan.trained(df, ["a", "b"], params | {"colsample_bytree": 1.0}, ["id"], path)
+    assert len(model.trees) == 10 and report.first().auc > 0.9
+    again = boosting.load(spark, path)
+    both = boosting.probability(again, boosting.probability(model, df, "p"), "q")
+    assert both.filter("p <> q or p is null").count() == 0 and again.importance() == model.importance()
+    boosting.save(spark, model, path)
+    assert boosting.load(spark, path).features == ["a", "b"]
+
+
+def test_second_order_search(spark):
+    df = labelled_squares(spark, 240)
+    good = files.DEFAULTS | {"n_estimators": 2, "max_depth": 2, "learning_rate": 0.3, "colsample_bytree": 1.0}
+    found = boosting.search(df, ["a", "b"], [good | {"gamma": 1e9}, good], ["id"], folds=2)
+    assert [x[0]["gamma"] for x in found] == [0.5, 1e9]  # no split is worth the greater gamma
+    assert found[0][1] > 0.85 and found[1][1] == 0.5
+
+
+def test_forest_search(spark):
+    total = 1
+    for v in ml.FOREST_GRID.values():
+        total *= len(v)
+    assert total == 720
+    df = labelled_squares(spark, 200)
+    point = {"n_estimators": 3, "max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "bootstrap": True}
+    model, found = ml.search(df, ["a", "b"], [point | {"class_weight": w} for w in (None, "balanced", 5)], ["id"], folds=2)
+    assert len(found) == 3 and found[0][1] > 0.8
+    assert [ml.positive_weight({"class_weight": w}) for w in ml.FOREST_GRID["class_weight"]] == [1.0, None, None, 3.0, 5.0]
+    forest = model.bestModel.stages[-1]
+    assert forest.getNumTrees == 3 and forest.getOrDefault("maxDepth") == ml.DEEPEST
+
+
+def test_predicting_goes_on_after_an_error(spark, tmp_path):
+    df = labelled_squares(spark, 200)
+    model = boosting.train(df, ["a", "b"], files.DEFAULTS | {"n_estimators": 2, "max_depth": 2})
+    cells = df.select(F.lit("x").alias("raster_id"), (F.col("id") % 10).cast("int").alias("r"), F.floor(F.col("id") / 10).cast("int").alias("c"), "a", "b")
+    found = plan.predict_each(spark, model, [("bad", lambda: cells.select("missing")), ("good", lambda: cells)], ["a", "b"], str(tmp_path))
+    assert [x[:2] for x in found] == [("bad", "FAILED"), ("good", "SUCCESS")]
+    assert spark.read.parquet(str(tmp_path / "good")).filter("probability between 0 and 1").count() == 200
+
+
 def test_batch_isolates_failures(spark):
     def fail():
         raise ValueError("no raster")
