@@ -351,7 +351,13 @@ def r3_reproject(spark, sf_dir):
     return resample.reprojected(e, "z", COARSE_META, e, FINE_META).select(*CELL, *rounded("z"))
 
 
-@query()
+BICUBIC = G + """, k AS (SELECT d, abs(0.25::DOUBLE - d) AS x FROM (VALUES (-1), (0), (1), (2)) v(d)),
+w AS (SELECT d, CASE WHEN x <= 1 THEN 1.5 * x * x * x - 2.5 * x * x + 1 ELSE -0.5 * x * x * x + 2.5 * x * x - 4 * x + 2 END AS w FROM k),
+x AS (SELECT g.r, g.c, sum(a.w * b.w * s.z) AS s, sum(a.w * b.w) AS w FROM g, w a, w b, g s WHERE s.r = g.r + a.d AND s.c = g.c + b.d GROUP BY g.r, g.c)
+SELECT r, c, ROUND(s / w / 1000000.0, 4) AS z FROM x"""
+
+
+@query(BICUBIC)
 def r5_bicubic(spark, sf_dir):
     e = elevation(spark, sf_dir)
     points = e.select(*KEY, (F.col("r") + 0.25).alias("fr"), (F.col("c") + 0.25).alias("fc"))
@@ -385,7 +391,15 @@ def h3_d8_area(spark, sf_dir):
     return hydrology.d8_area(hydrology.d8(elevation(spark, sf_dir), "z")).select(*CELL, "area")
 
 
-@query()
+DINF = G + f""", e AS (SELECT r, c, {Z_SQL} AS z FROM g),
+f AS (SELECT * FROM (VALUES (0, 1, -1, 1, 1, 0), (-1, 0, -1, 1, -1, 1), (-1, 0, -1, -1, 1, 1), (0, -1, -1, -1, -1, 2), (0, -1, 1, -1, 1, 2), (1, 0, 1, -1, -1, 3), (1, 0, 1, 1, 1, 3), (0, 1, 1, 1, -1, 4)) v(ar, ac, br, bc, turn, base)),
+s AS (SELECT e.r, e.c, turn, base, (e.z - a.z) / 10 AS s1, (a.z - b.z) / 10 AS s2, (e.z - b.z) / (10 * sqrt(2)) AS corner FROM f, e, e a, e b WHERE a.r = e.r + ar AND a.c = e.c + ac AND b.r = e.r + br AND b.c = e.c + bc),
+t AS (SELECT r, c, greatest(0, least(pi() / 4, atan2(s2, s1))) * turn + base * pi() / 2 AS x, CASE WHEN atan2(s2, s1) < 0 THEN s1 WHEN atan2(s2, s1) > pi() / 4 THEN corner ELSE sqrt(s1 * s1 + s2 * s2) END AS slope FROM s),
+a AS (SELECT r, c, slope, x - 2 * pi() * floor(x / (2 * pi())) AS angle FROM t), q AS (SELECT *, row_number() OVER (PARTITION BY r, c ORDER BY slope DESC, angle DESC) AS i FROM a)
+SELECT e.r, e.c, CASE WHEN slope > 0 THEN ROUND(angle, 4) END AS angle, ROUND(greatest(coalesce(slope, 0.0), 0.0), 4) AS slope FROM e LEFT JOIN q ON q.r = e.r AND q.c = e.c AND i = 1"""
+
+
+@query(DINF)
 def h5_dinf(spark, sf_dir):
     return hydrology.dinf(elevation(spark, sf_dir), "z").select(*CELL, *rounded("angle", "slope"))
 
