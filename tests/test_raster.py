@@ -322,3 +322,11 @@ def test_display(spark):
     df = spark.createDataFrame([(0.123, 0.2), (None, 0.0), (1.0, -0.1)], "p double, o double")
     rows = df.select(display.percent(F.col("p")).alias("p"), display.signed_percent(F.col("o")).alias("o"), display.elapsed(F.lit(125)).alias("e"), display.coordinate(F.lit(1.5)).alias("x")).collect()
     assert [tuple(r) for r in rows] == [("12.3%", "+20% wetter", "2m 5s", "1.50000"), ("No data", "Baseline", "2m 5s", "1.50000"), ("100.0%", "-10% drier", "2m 5s", "1.50000")]
+
+
+def test_from_elevation_to_report(spark, cells, dem):
+    labels = cells.select(*KEY, (F.col("z") > float(np.quantile(dem, 0.7))).cast("int").alias("label"))
+    found, report, summary = plan.modelled(cells, labels, plan.short_parameters() | {"n_estimators": 3.0})
+    assert found.count() == dem.size and found.filter("probability is not null and not probability between 0 and 1").count() == 0
+    assert found.filter("probability is not null").count() > dem.size / 2
+    assert report.first().auc > 0.9 and summary.count() == 1
