@@ -37,9 +37,10 @@ def with_raster_values(df: DataFrame, by_raster: DataFrame) -> DataFrame:
     return df.join(F.broadcast(df.sparkSession.createDataFrame(rows, by_raster.schema)), RASTER)
 
 
-def with_size(df: DataFrame) -> DataFrame:
-    """df with the height and width of each raster, as columns n_r and n_c."""
-    return with_raster_values(df, df.groupBy(RASTER).agg((F.max(ROW) + 1).alias("n_r"), (F.max(COL) + 1).alias("n_c")))
+def with_size(df: DataFrame, like: DataFrame | None = None) -> DataFrame:
+    """df with the height and width of each raster, as columns n_r and n_c, taken from the cells of like if given: the same rasters, with a shorter plan."""
+    cells = df if like is None else like
+    return with_raster_values(df, cells.groupBy(RASTER).agg((F.max(ROW) + 1).alias("n_r"), (F.max(COL) + 1).alias("n_c")))
 
 
 def mirrored(df: DataFrame, axis: str, size: str, reach: int) -> DataFrame:

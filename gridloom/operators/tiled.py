@@ -83,10 +83,10 @@ def edge_aware(block: np.ndarray, top: int, left: int, height: int, width: int,
     }
 
 
-def focal_features(df: DataFrame, value: str, spacing: float = 10.0, tile: int = TILE) -> DataFrame:
-    """All features of NAMES for each cell; value must have no NULL."""
+def focal_features(df: DataFrame, value: str, spacing: float = 10.0, tile: int = TILE, like: DataFrame | None = None) -> DataFrame:
+    """All features of NAMES for each cell; value must have no NULL.  The sizes of rasters are those of like, if given, so that df is computed once."""
     side = lambda at, n: F.filter(F.array_distinct(F.array(*[F.floor((at + k) / tile) for k in (-HALO, 0, HALO)])), lambda t: (t >= 0) & (t * tile < n))
-    sent = with_size(df.select(*KEY, F.col(value).cast("double").alias("z")))
+    sent = with_size(df.select(*KEY, F.col(value).cast("double").alias("z")), like)
     sent = sent.withColumn("tr", F.explode(side(F.col(ROW), F.col("n_r")))).withColumn("tc", F.explode(side(F.col(COL), F.col("n_c"))))
     types = {k: df.schema[k].dataType.simpleString() for k in KEY}
 

@@ -28,8 +28,8 @@ def twi_100m(dem: DataFrame, sca: DataFrame, z: str, area: str, spacing: float =
 def terrain_features(dem: DataFrame, z: str = "z", spacing: float = 10.0) -> DataFrame:
     """The focal features of a raster; where the elevation is missing they're NULL.  Gaps are filled by the nearest cell, or the median for the 5 by 5 and slope features."""
     known = dem.select(*KEY, F.col(z).isNotNull().alias("__known"))
-    near = tiled.focal_features(nearest_fill(dem.select(*KEY, z), z), z, spacing)
-    middle = tiled.focal_features(median_fill(dem.select(*KEY, z), z), z, spacing)
+    near = tiled.focal_features(nearest_fill(dem.select(*KEY, z), z), z, spacing, like=dem)
+    middle = tiled.focal_features(median_fill(dem.select(*KEY, z), z), z, spacing, like=dem)
     by_median = ["slope", "elev_5x5_rel", "elev_5x5_std_dev"]
     both = checkpointed(near.drop(*by_median).join(middle.select(*KEY, *by_median), KEY).join(known, KEY))
     slopes = tiled.focal_features(both.select(*KEY, "slope"), "slope", spacing).select(*KEY, F.col("elev_5x5_std_dev").alias("slope_5x5_std_dev"), F.col("elev_std_9x9").alias("slope_std_9x9"))
