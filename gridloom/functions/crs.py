@@ -13,6 +13,8 @@ A, FLATTENING_GRS80, FLATTENING_WGS84 = 6378137.0, 1 / 298.257222101, 1 / 298.25
 #: Standard parallels and origin of EPSG 5070, degrees (fixed values).
 PARALLELS, ORIGIN = (29.5, 45.5), (23.0, -96.0)
 SCALE, FALSE_EASTING = 0.9996, 500000.0
+#: What counts as rounding past a pole: degrees of latitude, and sines of the authalic latitude (under 2 cm of EPSG 5070).
+PAST_DEGREES, PAST_SINE = 1e-10, 1e-9
 
 Point = tuple[Column, Column]
 
@@ -33,25 +35,26 @@ def _albers() -> tuple[float, float, float, float, Callable[[float], float]]:
 
 
 def albers(lon: Column, lat: Column) -> Point:
-    """Degrees to metres of EPSG 5070."""
+    """Degrees to metres of EPSG 5070; NULL past a pole, where a sine is that of another point."""
     e2, n, c, rho0, _ = _albers()
     e = math.sqrt(e2)
-    s = F.sin(F.radians(lat))
+    s = F.sin(F.radians(F.when(F.abs(lat) <= 90 + PAST_DEGREES, lat)))
     q = (1 - e2) * (s / (1 - e2 * s * s) - F.ln((1 - e * s) / (1 + e * s)) / (2 * e))
     rho, theta = A * F.sqrt(c - n * q) / n, n * F.radians(lon - ORIGIN[1])
     return rho * F.sin(theta), rho0 - rho * F.cos(theta)
 
 
 def from_albers(x: Column, y: Column) -> Point:
-    """Metres of EPSG 5070 to degrees."""
+    """Metres of EPSG 5070 to degrees; NULL inside the arc that is a pole, and outside the other's."""
     e2, n, c, rho0, _ = _albers()
     e = math.sqrt(e2)
     rho, theta = F.sqrt(x * x + (rho0 - y) * (rho0 - y)), F.atan2(x, rho0 - y)
     q = (c - rho * rho * n * n / (A * A)) / n
-    beta = F.asin(q / (1 - (1 - e2) / (2 * e) * math.log((1 - e) / (1 + e))))
+    sine = q / (1 - (1 - e2) / (2 * e) * math.log((1 - e) / (1 + e)))
+    beta = F.asin(F.when(F.abs(sine) <= 1 + PAST_SINE, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), sine))))
     e4, e6 = e2 * e2, e2**3
     phi = beta + (e2 / 3 + 31 * e4 / 180 + 517 * e6 / 5040) * F.sin(2 * beta) + (23 * e4 / 360 + 251 * e6 / 3780) * F.sin(4 * beta) + 761 * e6 / 45360 * F.sin(6 * beta)
-    return ORIGIN[1] + F.degrees(theta / n), F.degrees(phi)
+    return F.when(phi.isNotNull(), ORIGIN[1] + F.degrees(theta / n)), F.degrees(phi)
 
 
 def utm(lon: Column, lat: Column, zone: int = 10) -> Point:
@@ -84,6 +87,26 @@ def from_utm(x: Column, y: Column, zone: int = 10) -> Point:
     return 6 * zone - 183 + F.degrees(lon), F.degrees(lat)
 
 
+def half_turns(lat: Column) -> Column:
+    """How many poles a latitude that is counted on along its meridian has passed; 0 from -90 to 90."""
+    return F.rint(lat / 180.0)
+
+
+def _opposite(lon: Column, turns: Column) -> Column:
+    return F.when(turns % 2 != 0, F.when(lon > 0, lon - 180.0).otherwise(lon + 180.0)).otherwise(lon)
+
+
+def on_globe(lon: Column, lat: Column, turns: Column) -> Point:
+    """The longitude and latitude of a point whose latitude is counted on past poles: 97 degrees are 83 of the opposite meridian."""
+    left = lat - 180.0 * turns
+    return _opposite(lon, turns), F.when(turns % 2 != 0, -left).otherwise(left)
+
+
+def counted_on(lon: Column, lat: Column, turns: Column) -> Point:
+    """The reverse of on_globe, given the poles that were passed."""
+    return _opposite(lon, turns), 180.0 * turns + F.when(turns % 2 != 0, -lat).otherwise(lat)
+
+
 #: To and from degrees, by EPSG code.
 TO_DEGREES: dict[int, Callable[[Column, Column], Point]] = {4326: lambda x, y: (x, y), 5070: from_albers, 32610: from_utm}
 FROM_DEGREES: dict[int, Callable[[Column, Column], Point]] = {4326: lambda x, y: (x, y), 5070: albers, 32610: utm}

@@ -39,6 +39,17 @@ def test_query(spark, duck, name):
         assert rows == sorted(tuple(plain(r[names.index(c)]) for c in columns) for r in result.fetchall())
 
 
+def test_points_of_long_grids(spark, tmp_path):
+    """Rows 0, just before, at and past both poles, and the last ones of 60 times sf0.1."""
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW small AS SELECT * FROM '{SMALL}/orders.parquet'")
+    con.execute("CREATE TABLE orders AS SELECT o_orderkey + 125 * first AS o_orderkey, * EXCLUDE (o_orderkey) FROM small, (SELECT unnest([0, 2444, 7188, 11444, 20444, 71988]) AS first)")
+    con.execute(f"COPY orders TO '{tmp_path}/orders.parquet'")
+    want = con.execute(ORACLES["p21_reproject_points"]).fetchall()
+    found = QUERIES["p21_reproject_points"](spark, str(tmp_path)).select("r", "c", "lon", "lat").collect()
+    assert len(want) == 9000 and sorted(tuple(map(plain, r)) for r in found) == sorted(tuple(map(plain, r)) for r in want)
+
+
 def test_registry():
     assert set(ORACLES) <= set(QUERIES)
 

@@ -246,6 +246,29 @@ def test_projections_round_trip(spark):
     assert df.select(x.alias("x"), y.alias("y")).first() == (pytest.approx(500000.0), pytest.approx(0.0, abs=1e-6))
 
 
+def test_albers_at_and_past_the_poles(spark):
+    points = [(-124.0, 90.0), (56.0, 90.0), (-124.0, -90.0), (-124.0, 89.98), (-124.0, 90.02), (-124.0, 97.0), (-96.0, -91.0)]
+    x, y = crs.transformed(F.col("lon"), F.col("lat"), 4326, 5070)
+    there = spark.createDataFrame(points, "lon double, lat double").select("lon", "lat", x.alias("x"), y.alias("y"))
+    for r in there.select("*", *[v.alias(k) for k, v in zip("ab", crs.transformed(F.col("x"), F.col("y"), 5070, 4326), strict=True)]).collect():
+        if abs(r.lat) <= 90:
+            assert r.a == pytest.approx(r.lon, abs=1e-9) and r.b == pytest.approx(r.lat, abs=4e-6)
+        else:  # no such point: not that of 180 - lat
+            assert (r.x, r.y, r.a, r.b) == (None,) * 4
+    # Metres inside the arc of the pole, outside the other's, and none.
+    off = spark.createDataFrame([(0.0, crs._albers()[3]), (3e7, 0.0), (float("nan"), 0.0), (None, 0.0)], "x double, y double")
+    assert all(tuple(r) == (None, None) for r in off.select(*crs.from_albers(F.col("x"), F.col("y"))).collect())
+
+
+def test_latitudes_counted_on_past_poles(spark):
+    expected = {(-124.0, 41.0): (-124.0, 41.0), (-124.0, 90.0): (-124.0, 90.0), (-124.0, 97.0): (56.0, 83.0), (56.0, 97.0): (-124.0, 83.0), (-124.0, 184.0): (56.0, -4.0), (-124.0, 271.0): (-124.0, -89.0), (-124.0, -97.0): (56.0, -83.0), (10.0, 401.0): (10.0, 41.0)}
+    lon, lat = F.col("lon"), F.col("lat")
+    df = spark.createDataFrame(list(expected), "lon double, lat double").withColumn("turns", crs.half_turns(lat))
+    df = df.select("*", *[v.alias(k) for k, v in zip("ab", crs.on_globe(lon, lat, F.col("turns")), strict=True)])
+    rows = df.select("*", *[v.alias(k) for k, v in zip("de", crs.counted_on(F.col("a"), F.col("b"), F.col("turns")), strict=True)]).collect()
+    assert len(rows) == len(expected) and all((r.a, r.b) == expected[r.lon, r.lat] and (r.d, r.e) == (r.lon, r.lat) for r in rows)
+
+
 def drains(z):
     """Whether each cell reaches the edge without ascending."""
     h, w = z.shape
